@@ -15,44 +15,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a given table over all cores: each table is one file, hence one scan task, and the columns
+    derived from it cost far more than moving its few raw ones."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 LATITUDE = "case when {k} % 97 = 0 then 0.0D else 25.0D + cast(({k} * 37) % 120 as double) / 10.0D end"
 LONGITUDE = "-110.0D + cast(({k} * 53) % 210 as double) / 10.0D"
-# A stand-in cell hierarchy; real tokens are input data.
-TOKENS = f"""transform(sequence(0, {TOKEN_LEVELS - 1}), k -> concat_ws('_',
-    floor((latitude + 90.0D) * pow(2.0D, k) / 180.0D), floor((longitude + 180.0D) * pow(2.0D, k) / 360.0D))) as s2_tokens"""
+# A stand-in cell hierarchy; real tokens are input data. Each level halves the cells of the one before.
+_ROW = f"cast(floor((latitude + 90.0D) * {2 ** (TOKEN_LEVELS - 1)} / 180.0D) as int)"
+_COLUMN = f"cast(floor((longitude + 180.0D) * {2 ** (TOKEN_LEVELS - 1)} / 360.0D) as int)"
+TOKENS = (
+    f"transform(sequence(0, {TOKEN_LEVELS - 1}), "
+    f"k -> concat_ws('_', shiftright({_ROW}, {TOKEN_LEVELS - 1} - k), shiftright({_COLUMN}, {TOKEN_LEVELS - 1} - k)))")
+
+
+def _stored(**columns: str) -> str:
+    """Columns that Spark treats as if they had been read, not as expressions to repeat at every later use."""
+    return "inline(array(named_struct(" + ", ".join(f"'{n}', {v}" for n, v in columns.items()) + ")))"
 
 
 def parsed_observations(spark, sf_dir: str) -> DataFrame:
     """One row per order: a third are random points, a few per cent are rejects."""
-    rows = table(spark, sf_dir, "orders").selectExpr(
-        f"""case when o_orderstatus = 'P' then concat_ws('-', 'r', o_orderkey div {RANDOM_BATCH} + 1, o_orderkey)
-                 else concat('o-', o_orderkey) end as example_id""",
-        "case when o_orderstatus = 'P' then 'random' else concat('u', o_orderkey % 5) end as category",
-        f"{LATITUDE.format(k='o_custkey')} as latitude",
-        f"{LONGITUDE.format(k='o_custkey')} as longitude",
-        """case when o_orderkey % 211 = 0 then left(date_format(o_orderdate, 'yyyyMMdd'), 7)
-                else date_format(o_orderdate, 'yyyyMMdd') end as date_string""",
-        "case when o_orderkey % 211 <> 0 then cast(o_orderdate as date) end as obs_date",
+    day = "date_format(o_orderdate, 'yyyyMMdd')"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    return _spread(orders, "o_orderkey").selectExpr(
+        "*", f"{LATITUDE.format(k='o_custkey')} as latitude", f"{LONGITUDE.format(k='o_custkey')} as longitude",
+    ).selectExpr(
+        "latitude", "longitude",
         "case when o_custkey % 89 <> 0 then (o_custkey * 13) % 3000 end as elevation",
-        "cast(o_custkey % 8 + 1 as string) as eco_realm",
-        "cast(o_custkey % 14 + 1 as string) as eco_biome",
-        "cast(o_custkey % 30 + 1 as string) as eco_num",
-        "cast(o_orderkey % 3 as string) as source_type",
-        "cast(o_custkey as string) as target_id",
+        "o_custkey % 83 <> 0 as has_feature_set",
         "o_orderkey * 1000 as modified_at",
-        "o_custkey % 83 <> 0 as has_feature_set")
-    return rows.selectExpr("*", TOKENS)
+        "case when o_orderkey % 211 <> 0 then cast(o_orderdate as date) end as obs_date",
+        _stored(
+            example_id=f"""case when o_orderstatus = 'P' then concat_ws('-', 'r', o_orderkey div {RANDOM_BATCH} + 1, o_orderkey)
+                                else concat('o-', o_orderkey) end""",
+            category="case when o_orderstatus = 'P' then 'random' else concat('u', o_orderkey % 5) end",
+            date_string=f"left({day}, case when o_orderkey % 211 = 0 then 7 else 8 end)",
+            eco_realm="cast(o_custkey % 8 + 1 as string)",
+            eco_biome="cast(o_custkey % 14 + 1 as string)",
+            eco_num="cast(o_custkey % 30 + 1 as string)",
+            source_type="cast(o_orderkey % 3 as string)",
+            target_id="cast(o_custkey as string)",
+            s2_tokens=TOKENS))
 
 
 def documents(spark, sf_dir: str) -> DataFrame:
     """The same observations as nested source documents."""
+    features = f"""case when has_feature_set then named_struct(
+        'GeoPoint', struct(latitude, longitude), 'Elevation', cast(elevation as double),
+        'EcoRealm', cast(eco_realm as int), 'EcoBiome', cast(eco_biome as int), 'EcoNum', cast(eco_num as int),
+        'S2Tokens', map_from_arrays(transform(sequence(0, {TOKEN_LEVELS - 1}), k -> cast(k as string)), s2_tokens),
+        'ModifiedAt', modified_at) end"""
     return parsed_observations(spark, sf_dir).selectExpr(
-        "category", "example_id", "date_string as FormattedDate",
-        f"""case when has_feature_set then named_struct(
-                'GeoPoint', struct(latitude, longitude), 'Elevation', cast(elevation as double),
-                'EcoRealm', cast(eco_realm as int), 'EcoBiome', cast(eco_biome as int), 'EcoNum', cast(eco_num as int),
-                'S2Tokens', map_from_arrays(transform(sequence(0, {TOKEN_LEVELS - 1}), k -> cast(k as string)), s2_tokens),
-                'ModifiedAt', modified_at) end as GeoFeatureSet""")
+        "category", "example_id", "date_string as FormattedDate", _stored(GeoFeatureSet=features))
 
 
 def observations(spark, sf_dir: str) -> DataFrame:
@@ -72,7 +89,8 @@ def stations(spark, sf_dir: str) -> DataFrame:
 
 def readings(spark, sf_dir: str) -> DataFrame:
     """Daily readings of every station, missing on days of a large returned shipment of its supplier."""
-    days = table(spark, sf_dir, "supplier").selectExpr(
+    suppliers = _spread(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")  # one row becomes 2,600 days
+    days = suppliers.selectExpr(
         "s_suppkey as s", f"explode(sequence(date '{CALENDAR_START}', date '{CALENDAR_END}')) as day")
     outages = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' and l_quantity >= 50").selectExpr(
         "l_suppkey as s", "cast(l_shipdate as date) as day")
@@ -91,7 +109,7 @@ def areas(spark, sf_dir: str) -> DataFrame:
         f"{LATITUDE.format(k='p_partkey')} as latitude", f"{LONGITUDE.format(k='p_partkey')} as longitude",
         "(p_partkey * 13) % 3000 as elevation", "cast(p_partkey % 8 + 1 as string) as eco_realm",
         "cast(p_partkey % 14 + 1 as string) as eco_biome", "cast(p_partkey % 30 + 1 as string) as eco_num",
-        "p_partkey * 1000 as modified_at").selectExpr("*", TOKENS)
+        "p_partkey * 1000 as modified_at").selectExpr("*", _stored(s2_tokens=TOKENS))
 
 
 def name_usages(spark, sf_dir: str) -> DataFrame:

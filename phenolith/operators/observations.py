@@ -18,8 +18,12 @@ def parse_documents(documents: DataFrame, tokens_as_list: bool = False) -> DataF
     if tokens_as_list:
         ordered, token_count = f"{g}.S2Tokens", f"size({g}.S2Tokens)"
     else:
-        ordered = f"transform(sequence(0, {TOKEN_LEVELS - 1}), k -> try_element_at({g}.S2Tokens, cast(k as string)))"
-        token_count = f"size(map_keys({g}.S2Tokens))"
+        # Sorting the entries reads the map once; looking up level by level is for maps with other keys.
+        entries = f"array_sort(transform(map_entries({g}.S2Tokens), e -> struct(try_cast(e.key as int) as k, e.value as v)))"
+        levels = f"sequence(0, {TOKEN_LEVELS - 1})"
+        ordered = f"""element_at(transform(array({entries}), s -> case when transform(s, e -> e.k) = {levels} then transform(s, e -> e.v)
+            else transform({levels}, k -> try_element_at({g}.S2Tokens, cast(k as string))) end), 1)"""
+        token_count = f"size({g}.S2Tokens)"
     kept = [c for c in documents.columns if c not in (g, "FormattedDate")]
     return documents.selectExpr(
         *kept,
@@ -67,8 +71,13 @@ def with_reasons(parsed: DataFrame) -> DataFrame:
 
 
 def valid_observations(parsed: DataFrame) -> DataFrame:
-    """Rows without any reason, as plain filters that reach the scan where they can."""
-    return parsed.where(" and ".join(f"not coalesce({rule}, false)" for _, rule in reject_rules(parsed.columns)))
+    """Rows without any reason, as plain filters that reach the scan where they can.
+
+    The token rules are put in functions that stay in generated code: membership is null, hence no, for
+    an array with a null in it.
+    """
+    rules = [f"not coalesce({r}, false)" for name, r in reject_rules(parsed.columns) if name != "token_empty"]
+    return parsed.where(" and ".join([*rules, "not coalesce(array_contains(s2_tokens, ''), true)"]))
 
 
 def rejected_observations(parsed: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from dataclasses import dataclass
 from decimal import ROUND_HALF_UP, Decimal
+from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,8 +11,8 @@ from pyspark.sql import functions as F
 from phenolith.functions import columns as X
 from phenolith.operators.numbering import number_rows
 
-_DIGITS = 3          # hash digits per refinement: 4,096 counts come to the driver
-_FETCH_ROWS = 10_000  # distinct keys fetched once a bucket is that small
+_DIGITS = 3           # hash digits per refinement: 4,096 counts come to the driver
+_FETCH_ROWS = 10_000  # a bucket of at most so many rows is fetched by key
 
 
 def round_half_away(x: float) -> int:
@@ -51,77 +53,108 @@ class Cut:
     present: int
 
 
-def _cut(df: DataFrame, rank: int) -> Cut | None:
-    """The place in hash order after which ``rank`` rows lie before; None when all rows do.
+def _histogram(hashed: DataFrame, wanted: dict[str, set[str]], width: int) -> dict[str, dict[str, int]]:
+    """Rows per part of the table and hash bucket, below the wanted prefixes only."""
+    if any(prefixes != {""} for prefixes in wanted.values()):
+        tests = [F.col("_class").eqNullSafe(c) & F.col("_digest").startswith(p) for c, ps in wanted.items() for p in sorted(ps)]
+        hashed = hashed.where(reduce(lambda a, b: a | b, tests))
+    rows = hashed.groupBy("_class", F.substring("_digest", 1, width).alias("_b")).agg(F.count("*").alias("n")).collect()
+    counts: dict[str, dict[str, int]] = {}
+    for r in rows:
+        counts.setdefault(r["_class"], {})[r["_b"]] = r["n"]
+    return counts
 
-    A histogram over a few hash digits finds the bucket with the wanted row, which is then split by the next
-    digits until it is small. Only counts travel, however many rows or copies of a row there are.
+
+def _cuts(hashed: DataFrame, ranks) -> tuple[dict[str, int], dict[str, list]]:
+    """For each class its row count and the places in hash order before which so many rows lie.
+
+    ``ranks`` maps the counts per class to the wanted ranks. A histogram over a few hash digits finds the buckets with
+    the wanted rows; large ones are split by the next digits. Only counts come to the driver, at most 4,096 per bucket
+    split, however many rows or copies of a row there are. A place beyond the last row is None.
     """
-    prefix, rest = "", rank
-    while True:
-        width = len(prefix) + _DIGITS
-        part = df.where(F.col("_digest").startswith(prefix)) if prefix else df
-        counts = {r["_b"]: r["n"] for r in part.groupBy(F.substring("_digest", 1, width).alias("_b"))
-                  .agg(F.count("*").alias("n")).collect()}
-        for bucket in sorted(counts):
-            if rest < counts[bucket]:
-                break
-            rest -= counts[bucket]
-        else:
-            return None
-        prefix = bucket
-        if counts[bucket] <= _FETCH_ROWS or len(prefix) + _DIGITS > 32:
-            break
-    keys = (
-        df.where(F.col("_digest").startswith(prefix)).groupBy("_digest", "_key").agg(F.count("*").alias("n")).collect())
-    for row in sorted(keys, key=lambda r: (r["_digest"], r["_key"])):
-        if rest < row["n"]:
-            return Cut(row["_digest"], row["_key"], rest, row["n"])
-        rest -= row["n"]
-    return None
-
-
-def split_by_hash(df: DataFrame, sizes: list[tuple[str, int]], seed, key: str = "example_id", out: str = "split") -> DataFrame:
+    counts = _histogram(hashed, {}, _DIGITS)
+    totals = {c: sum(buckets.values()) for c, buckets in counts.items()}
+    # One search per class and rank: prefix so far and rows still to pass below it.
+    searches = [[c, i, "", rank] for c, rs in ranks(totals).items() for i, rank in enumerate(rs)]
+    found: dict[tuple[str, int], Cut | None] = {}
+    width = _DIGITS
+    small: list = []
+    while searches:
+        following = []
+        for c, i, prefix, rest in searches:
+            below = {b: n for b, n in counts.get(c, {}).items() if b.startswith(prefix)}
+            for bucket in sorted(below):
+                if rest < below[bucket]:
+                    done = below[bucket] <= _FETCH_ROWS or width >= 32
+                    (small if done else following).append([c, i, bucket, rest])
+                    break
+                rest -= below[bucket]
+            else:
+                found[c, i] = None
+        searches = following
+        if searches:
+            width = min(width + _DIGITS, 32)
+            wanted: dict[str, set[str]] = {}
+            for c, _, prefix, _ in searches:
+                wanted.setdefault(c, set()).add(prefix)
+            counts = _histogram(hashed, wanted, width)
+    if small:
+        tests = [F.col("_class").eqNullSafe(c) & F.col("_digest").startswith(p) for c, p in sorted({(c, p) for c, _, p, _ in small})]
+        keys = hashed.where(reduce(lambda a, b: a | b, tests)).groupBy("_class", "_digest", "_key").agg(F.count("*").alias("n")).collect()
+        for c, i, prefix, rest in small:
+            below = sorted((r["_digest"], r["_key"], r["n"]) for r in keys if r["_class"] == c and r["_digest"].startswith(prefix))
+            for digest, key, n in below:
+                if rest < n:
+                    found[c, i] = Cut(digest, key, rest, n)
+                    break
+                rest -= n
+    result: dict[str, list] = {}
+    for (c, i), cut in sorted(found.items()):
+        result.setdefault(c, []).append(cut)
+    return totals, result
+
+
+def split_by_hash(df: DataFrame, sizes, seed, key: str = "example_id", out: str = "split", by: Column | None = None) -> DataFrame:
     """Give the first rows in hash order to the first part, the next to the second and so on.
 
-    ``sizes`` lists name and row count per part; rows beyond the last part are dropped. With the cuts known, the
+    ``sizes`` maps the row counts per class to ``{class: [(part, rows), ...]}``; ``by`` is the class, one
+    for all rows by default. Rows beyond the last part are dropped. With the cuts known, the
     split is a filter: the table is read, not shuffled. Only when copies of one key lie across a
     cut are those copies numbered.
     """
     columns = df.columns
-    hashed = df.withColumns({"_digest": X.seeded_md5(seed, key), "_key": F.col(key)})
-    narrow = hashed.select("_digest", "_key")
-    before, cuts = 0, []
-    for name, size in sizes:
-        before += size
-        cuts.append((name, _cut(narrow, before)))
-
-    label: Column | None = None
-    split_keys: dict[tuple[str, str], list] = {}
-    for name, cut in cuts:
-        if cut is None:
-            inside = F.lit(True)
-        else:
-            inside = (F.col("_digest") < cut.digest) | ((F.col("_digest") == cut.digest) & (F.col("_key") < cut.key))
-            if cut.copies:
-                split_keys.setdefault((cut.digest, cut.key), []).append((name, cut.copies))
-        label = F.when(inside, F.lit(name)) if label is None else label.when(inside, F.lit(name))
-
-    at_cut = F.lit(False)
-    for digest, value in split_keys:
-        at_cut = at_cut | ((F.col("_digest") == digest) & (F.col("_key") == value))
-    whole = hashed.where(~at_cut) if split_keys else hashed
+    hashed = df.withColumns({
+        "_class": by if by is not None else F.lit("all"), "_digest": X.seeded_md5(seed, key), "_key": F.col(key)})
+    plan: dict = {}
+
+    def ranks(totals):
+        plan.update(sizes(totals))
+        return {c: list(accumulate(n for _, n in parts)) for c, parts in plan.items()}
+
+    _, cuts = _cuts(hashed.select("_class", "_digest", "_key"), ranks)
+    label, shared = F.lit(None).cast("string"), {}
+    for c, parts in plan.items():
+        for (name, _), cut in reversed(list(zip(parts, cuts.get(c, [])))):
+            inside = F.col("_class") == c
+            if cut is not None:
+                inside = inside & ((F.col("_digest") < cut.digest) | ((F.col("_digest") == cut.digest) & (F.col("_key") < cut.key)))
+                if cut.copies:
+                    shared.setdefault((c, cut.digest, cut.key), []).insert(0, (name, cut.copies))
+            label = F.when(inside, F.lit(name)).otherwise(label)
+
+    def at(c, digest, value):
+        return (F.col("_class") == c) & (F.col("_digest") == digest) & (F.col("_key") == value)
+
+    whole = hashed
+    for place in shared:
+        whole = whole.where(~at(*place))
     result = whole.withColumn(out, label).where(F.col(out).isNotNull()).select(*columns, out)
-    for (digest, value), shares in split_keys.items():
-        copies = hashed.where((F.col("_digest") == digest) & (F.col("_key") == value)).select(*columns)
-        numbered = number_rows(copies, [key], "_n")
-        share: Column | None = None
-        for name, upto in shares:
-            inside = F.col("_n") < upto
-            share = F.when(inside, F.lit(name)) if share is None else share.when(inside, F.lit(name))
-        following = [name for name, cut in cuts if cut is None or (cut.digest, cut.key) > (digest, value)]
-        if following:
-            share = share.otherwise(F.lit(following[0]))
+    for (c, digest, value), shares in shared.items():
+        numbered = number_rows(hashed.where(at(c, digest, value)).select(*columns), [key], "_n")
+        after = [name for (name, _), cut in zip(plan[c], cuts[c]) if cut is None or (cut.digest, cut.key) > (digest, value)]
+        share = F.lit(after[0] if after else None).cast("string")
+        for name, upto in reversed(shares):
+            share = F.when(F.col("_n") < upto, F.lit(name)).otherwise(share)
         result = result.unionByName(
             numbered.withColumn(out, share).where(F.col(out).isNotNull()).select(*columns, out))
     return result
@@ -131,21 +164,25 @@ def sample_positions(df: DataFrame, count: int, seed, key: str = "example_id") -
     """Exactly ``count`` rows, uniform by hash; none when the count is 0 or there are no rows."""
     if count <= 0:
         return df.limit(0)
-    return split_by_hash(df, [("picked", count)], seed, key, "_split").drop("_split")
+    return split_by_hash(df, lambda totals: {c: [("picked", count)] for c in totals}, seed, key, "_split").drop("_split")
 
 
-def train_eval_split(occurrences: DataFrame, random: DataFrame, multiplier: int = 5, pct: float = 0.05, seed=0,
-                     key: str = "example_id") -> DataFrame:
+def train_eval_split(rows: DataFrame, multiplier: int = 5, pct: float = 0.05, seed=0, key: str = "example_id",
+                     presence: Column | None = None) -> DataFrame:
     """Exact-count stratified split of occurrences and random points.
 
     Eval gets its quota of both classes, train the other occurrences and as many random points as its quota
-    allows. A quota is always met when the rows exist.
+    allows. A quota is always met when the rows exist. ``presence`` tells the classes apart, by default the label.
     """
-    total = occurrences.count()
-    q = split_quotas(total, multiplier, pct)
-    own = split_by_hash(occurrences, [("eval", q.eval_occurrence), ("train", q.train_occurrence)], seed, key)
-    drawn = split_by_hash(random, [("eval", q.eval_random), ("train", q.train_random)], seed, key)
-    return own.unionByName(drawn)
+    kind = F.when(presence if presence is not None else X.label_presence(), "occurrence").otherwise("random")
+
+    def sizes(totals):
+        q = split_quotas(totals.get("occurrence", 0), multiplier, pct)
+        return {
+            "occurrence": [("eval", q.eval_occurrence), ("train", q.train_occurrence)],
+            "random": [("eval", q.eval_random), ("train", q.train_random)]}
+
+    return split_by_hash(rows, sizes, seed, key, by=kind)
 
 
 def sample_random_files(files: DataFrame, wanted_rows: int, seed, include_last: bool = True) -> DataFrame:

@@ -16,10 +16,17 @@ MISSING_PRECIPITATION = 99.99
 CELL_DEGREES = 1.0
 
 
+def keyed_stations(stations: DataFrame) -> DataFrame:
+    """Stations with the key of their position and their rank among the stations at it."""
+    rank = F.row_number().over(Window.partitionBy("station_key").orderBy("usaf", "wban"))
+    return stations.withColumn("station_key", X.station_key()).withColumn("station_rank", rank)
+
+
 def join_weather_stations(readings: DataFrame, stations: DataFrame) -> DataFrame:
     """Readings with the position of their station. Catalyst picks the join by the size it sees."""
-    on = (readings["stn"] == stations["usaf"]) & (readings["wban"] == stations["wban"])
-    return readings.join(stations, on, "inner").drop(stations["wban"], stations["usaf"])
+    keyed = keyed_stations(stations)
+    on = (readings["stn"] == keyed["usaf"]) & (readings["wban"] == keyed["wban"])
+    return readings.join(keyed, on, "inner").drop(keyed["wban"], keyed["usaf"])
 
 
 def filter_station_box(joined: DataFrame, south: float, north: float, west: float, east: float,
@@ -43,23 +50,22 @@ def station_days(joined: DataFrame, null_sentinels: bool = False, daylight: bool
     """One row per station position and day.
 
     Stations at one position are one station; of several readings for a day the one with the largest
-    station number wins. The reading is folded in each task before the shuffle.
+    station number wins. The winner is kept in a hash table of plain numbers, in each task before the shuffle.
     """
-    df = joined.withColumns({"day": X.reading_date(), "station_key": X.station_key()})
-    df = df.where(F.col("station_key").isNotNull() & F.col("day").isNotNull())
+    df = joined.withColumn("day", X.reading_date()).where("station_key is not null and day is not null")
     if null_sentinels:
         df = df.where(
-            (F.col("temp") < MISSING_TEMPERATURE) & (F.col("max") < MISSING_TEMPERATURE)
-            & (F.col("min") < MISSING_TEMPERATURE) & (F.col("prcp") < MISSING_PRECIPITATION))
-    reading = F.struct(
-        "stn", "wban", F.col("temp").alias("avg_temp"), F.col("max").alias("max_temp"),
-        F.col("min").alias("min_temp"), F.col("prcp").alias("precipitation"))
-    unique = df.groupBy("station_key", "day").agg(F.max(reading).alias("r"))
-    parts = F.split("station_key", "\\|")
-    unique = unique.select(
-        "station_key", "day",
-        F.element_at(parts, 1).cast("double").alias("lat"), F.element_at(parts, 2).cast("double").alias("lon"),
-        "r.avg_temp", "r.max_temp", "r.min_temp", "r.precipitation")
+            f"temp < {MISSING_TEMPERATURE}D and max < {MISSING_TEMPERATURE}D "
+            f"and min < {MISSING_TEMPERATURE}D and prcp < {MISSING_PRECIPITATION}D")
+    # Rank first; the hash settles two readings of one station, the same way for every measure.
+    df = df.withColumn("_order", F.expr("station_rank * 1099511627776L + shiftrightunsigned(xxhash64(temp, max, min, prcp), 24)"))
+    pick = lambda c, name: F.max_by(c, "_order").alias(name)
+    unique = df.groupBy("station_key", "day").agg(
+        pick("temp", "avg_temp"), pick("max", "max_temp"), pick("min", "min_temp"), pick("prcp", "precipitation"))
+    unique = unique.selectExpr(
+        "station_key", "day", "cast(element_at(split(station_key, '[|]'), 1) as double) as lat",
+        "cast(element_at(split(station_key, '[|]'), 2) as double) as lon",
+        "avg_temp", "max_temp", "min_temp", "precipitation")
     return with_daylight(unique) if daylight else unique
 
 
@@ -90,10 +96,9 @@ def gap_free_runs(days: DataFrame, length: int = WEATHER_DAYS) -> DataFrame:
 
 
 def _position(df: DataFrame) -> DataFrame:
-    parts = F.split("station_key", "\\|")
-    return df.withColumns({
-        "station_lat": F.element_at(parts, 1).cast("double"),
-        "station_lon": F.element_at(parts, 2).cast("double")})
+    return df.selectExpr(
+        "*", "cast(element_at(split(station_key, '[|]'), 1) as double) as station_lat",
+        "cast(element_at(split(station_key, '[|]'), 2) as double) as station_lon")
 
 
 def stations_within_radius(points: DataFrame, stations: DataFrame, radius_km: float = STATION_RADIUS_KM,

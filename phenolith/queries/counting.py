@@ -142,12 +142,12 @@ SPLIT_SQL = """
 
 
 def _split(spark, sf):
-    return SP.train_eval_split(_occurrences(spark, sf), _random(spark, sf), multiplier=1, pct=0.1, seed=7)
+    return SP.train_eval_split(A.observations(spark, sf).select("example_id", "category"), multiplier=1, pct=0.1, seed=7)
 
 
 @query(SPLIT_SQL)
 def train_eval_split(spark, sf):
-    return _split(spark, sf).select("example_id", "category", "split")
+    return _split(spark, sf)
 
 
 @query("""SELECT example_id, category, split FROM (
@@ -159,9 +159,8 @@ def train_eval_split(spark, sf):
           FROM obs)) WHERE split IS NOT NULL""")
 def train_eval_split_surplus(spark, sf):
     """One usage against all other rows as background: most of the background is left over."""
-    rows, one = A.observations(spark, sf), F.col("category") == "u0"
-    parts = SP.train_eval_split(rows.where(one), rows.where(~one), multiplier=2, pct=0.1, seed=7)
-    return parts.select("example_id", "category", "split")
+    rows = A.observations(spark, sf).select("example_id", "category")
+    return SP.train_eval_split(rows, multiplier=2, pct=0.1, seed=7, presence=F.col("category") == "u0")
 
 
 @query(f"SELECT split, category <> 'random' AS presence, count(*) AS n FROM ({SPLIT_SQL}) GROUP BY ALL")

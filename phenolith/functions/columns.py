@@ -116,7 +116,7 @@ def coordinates(latitude="latitude", longitude="longitude") -> Column:
 def split_list(text, trim: bool = False) -> Column:
     """``a,b,c`` to an array. Blanks around a value stay unless ``trim`` is set."""
     parts = F.split(_col(text), ",")
-    return F.transform(parts, F.trim) if trim else parts
+    return F.transform(parts, lambda part: F.trim(part)) if trim else parts
 
 
 # --- categories ----------------------------------------------------------------------------------

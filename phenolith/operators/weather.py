@@ -14,6 +14,8 @@ MISSING_TEMPERATURE = 9999.9
 MISSING_PRECIPITATION = 99.99
 
 CELL_DEGREES = 1.0
+# Searched before the full radius: kilometres and cell size in degrees.
+INNER_RINGS = ((25.0, 0.25),)
 
 
 def keyed_stations(stations: DataFrame) -> DataFrame:
@@ -129,15 +131,34 @@ def group_boxes(observations: DataFrame, radius_km: float = STATION_RADIUS_KM) -
     return geodesic_box(group_extent(keyed, "season_region_key"), radius_km)
 
 
+def _search_ring(requests: DataFrame, runs: DataFrame, keys: list[str], edges: list[str], ring_km: float, cell: float) -> DataFrame:
+    """The nearest complete station within a ring for each request, as struct ``best``."""
+    reach = geo.reachable_cells("station_lat", "station_lon", ring_km, cell)
+    near = runs.select("station_key", "station_lat", "station_lon", "first_end", "last_end", "end_year", F.inline(reach))
+    placed = requests.withColumns({"cell_y": geo.cell_y("latitude", cell), "cell_x": geo.cell_x("longitude", cell)})
+    cell_keys = ["cell_y", "cell_x", "end_year"]
+    pairs = placed.join(near, cell_keys).where("end_day between first_end and last_end")
+    if edges:
+        pairs = pairs.where("station_lat between box_south and box_north and station_lon between box_west and box_east")
+    km = F.round(geo.haversine_km("latitude", "longitude", "station_lat", "station_lon"), 6)
+    pairs = pairs.withColumn("km", km).where(F.col("km") <= ring_km)
+    # The cell columns follow from the position; as grouping keys they spare a second shuffle.
+    return pairs.groupBy(*keys, *cell_keys).agg(F.min(F.struct("km", "station_key")).alias("best")).select(*keys, "best.*")
+
+
 def nearest_complete_station(observations: DataFrame, days: DataFrame, radius_km: float = STATION_RADIUS_KM,
-                             length: int = WEATHER_DAYS, cell: float = CELL_DEGREES,
-                             prefilter: str | None = None) -> DataFrame:
+                             length: int = WEATHER_DAYS, cell: float = CELL_DEGREES, prefilter: str | None = None,
+                             inner_rings: tuple = INNER_RINGS) -> DataFrame:
     """For each distinct position and window end the nearest station whose window has no gap.
 
     The gap-free runs go into the join, keyed by cell and year of the window end: only stations that are
     complete around that time are ever paired. The minimum is taken in the partition that made the
     pairs. Distances count to the millimetre, ties go to the smaller station key.
 
+    ``inner_rings`` are pairs of a radius and a cell size that are tried first: a station found in a ring is
+    nearer than any outside it, so only requests without one go on to the next. In a place with very many
+    stations and observations this keeps most of their pairs from being formed; the result does not depend on it.
+
     ``prefilter='group_box'`` also asks that the station lies in the box of the season-region group, which
     loses stations of wide groups.
     """
@@ -153,27 +174,17 @@ def nearest_complete_station(observations: DataFrame, days: DataFrame, radius_km
     if prefilter:
         edges = ["box_north", "box_south", "box_east", "box_west"]
         requests = requests.join(group_boxes(observations, radius_km).select("season_region_key", *edges), "season_region_key")
-    requests = requests.withColumns({
-        "cell_y": geo.cell_y("latitude", cell), "cell_x": geo.cell_x("longitude", cell),
-        "end_year": F.year("end_day")})
-
-    reach = geo.reachable_cells("station_lat", "station_lon", radius_km, cell)
+    requests = requests.withColumn("end_year", F.year("end_day"))
     runs = _position(gap_free_runs(days, length)).withColumn(
         "end_year", F.explode(F.sequence(F.year("first_end"), F.year("last_end"))))
-    runs = runs.select("station_key", "station_lat", "station_lon", "first_end", "last_end", "end_year", F.inline(reach))
 
-    cell_keys = ["cell_y", "cell_x", "end_year"]
-    pairs = requests.join(runs, cell_keys).where(F.col("end_day").between(F.col("first_end"), F.col("last_end")))
-    if prefilter:
-        pairs = pairs.where(
-            F.col("station_lat").between(F.col("box_south"), F.col("box_north"))
-            & F.col("station_lon").between(F.col("box_west"), F.col("box_east")))
-    km = geo.haversine_km("latitude", "longitude", "station_lat", "station_lon")
-    pairs = pairs.withColumn("km", km).where(F.col("km") <= radius_km)
-    # The cell columns follow from the position; as grouping keys they spare a second shuffle.
-    best = pairs.groupBy(*keys, *cell_keys).agg(
-        F.min(F.struct(F.round("km", 6).alias("km"), F.col("station_key"))).alias("best"))
-    return best.select(*keys, "best.station_key", "best.km")
+    found = None
+    for ring_km, ring_cell in [*((r, c) for r, c in inner_rings if r < radius_km), (radius_km, cell)]:
+        best = _search_ring(requests, runs, keys, edges, ring_km, ring_cell)
+        found = best if found is None else found.unionByName(best)
+        if ring_km < radius_km:
+            requests = requests.join(best.select(*keys), keys, "left_anti")
+    return found.select(*keys, "station_key", "km")
 
 
 def match_stations(observations: DataFrame, days: DataFrame, how: str = "inner", **options) -> DataFrame:

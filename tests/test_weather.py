@@ -75,8 +75,9 @@ def test_nearest_complete_window(spark, fixture):
 def test_same_result_with_other_partitions_and_joins(spark, fixture):
     s, r, o, *_ = fixture
     days = W.station_days(W.join_weather_stations(r, s), daylight=False)
-    pick = lambda: sorted((x["example_id"], x["station_key"]) for x in W.match_stations(o, days).collect())
+    pick = lambda **k: sorted((x["example_id"], x["station_key"]) for x in W.match_stations(o, days, **k).collect())
     first = pick()
+    assert pick(inner_rings=()) == first and pick(inner_rings=((5.0, 0.1), (40.0, 0.5)), cell=2.0) == first
     saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

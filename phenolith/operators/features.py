@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from phenolith.operators.numbering import number_rows
 from phenolith.schema import SCALED_COLUMNS, TOKEN_COLUMNS, TOKEN_LEVELS, VOCABULARY_COLUMNS, WEATHER_DAYS
-from phenolith.session import cut_lineage
+from phenolith.session import write_once
 
 # A vocabulary column may be broadcast up to this many entries (a few MB of short tokens).
 BROADCAST_ENTRIES = 100_000
@@ -151,7 +151,7 @@ def apply_transform(df: DataFrame, state: FittedTransform, oov: str = "zero", ke
 
 def preprocess(df: DataFrame, oov: str = "zero", keep: tuple = ()) -> tuple[DataFrame, FittedTransform]:
     """Fit and apply on the same rows; the rows are written once and read twice."""
-    rows = cut_lineage(df)
+    rows = write_once(df, "enriched")
     state = fit(rows)
     return apply_transform(rows, state, oov, keep), state
 

@@ -213,7 +213,7 @@ def weather_blocks(days: DataFrame, length: int = WEATHER_DAYS) -> DataFrame:
     twice = days.select(
         "station_key", F.unix_date("day").alias("n"), *WEATHER_COLUMNS,
         F.explode(F.array(block, block + 1)).alias("block"))
-    rows = F.array_sort(F.collect_list(F.struct("n", *WEATHER_COLUMNS)))
+    rows = F.sort_array(F.collect_list(F.struct("n", *WEATHER_COLUMNS)))
     blocks = twice.groupBy("station_key", "block").agg(rows.alias("rows"))
     return blocks.select("station_key", "block", F.col("rows.n").alias("ns"),
                          *[F.col(f"rows.{c}").alias(f"_{c}") for c in WEATHER_COLUMNS])
@@ -237,5 +237,8 @@ def nearest_complete_window(observations: DataFrame, days: DataFrame, **options)
 
 
 def usable_daylight(enriched: DataFrame) -> DataFrame:
-    """Rows whose every day has a positive length of day; the others belong to the rejects."""
-    return enriched.where(F.forall("daylight", lambda s: s.isNotNull() & (s > 0)))
+    """Rows whose every day has a length above 0; the others belong to the rejects.
+
+    Membership is null, hence no, when a day has no length.
+    """
+    return enriched.where("not coalesce(array_contains(daylight, 0L), true)")

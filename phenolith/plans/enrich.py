@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 
 from phenolith.operators import observations as O
 from phenolith.operators import weather as W
+from phenolith.session import write_once
 from phenolith.sinks.writers import write_by_category
 
 
@@ -17,9 +18,14 @@ def union_examples(*parts: DataFrame) -> DataFrame:
 
 def enrich(parsed: DataFrame, readings: DataFrame, stations: DataFrame, null_sentinels: bool = False,
            **options) -> DataFrame:
-    """Validate, look up the nearest complete weather history and attach it."""
+    """Validate, look up the nearest complete weather history and attach it.
+
+    The good observations feed the requests and the join back, the station days the search for gaps and the windows:
+    each is written once, so that neither the documents are parsed nor the readings shuffled twice.
+    """
     good = O.filter_year(O.valid_observations(parsed)).select(*O.OBSERVATION_COLUMNS)
-    days = W.station_days(W.join_weather_stations(readings, stations), null_sentinels)
+    good = write_once(good, "observations")
+    days = write_once(W.station_days(W.join_weather_stations(readings, stations), null_sentinels), "station-days")
     return W.usable_daylight(W.nearest_complete_window(good, days, **options)).drop("end_day", "season_region_key")
 
 

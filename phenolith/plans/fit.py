@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 
 from phenolith.operators.observations import require_fixed_length
 from phenolith.schema import ENRICHED_SCHEMA, TOKEN_LEVELS, WEATHER_COLUMNS, WEATHER_DAYS
-from phenolith.session import cut_lineage
+from phenolith.session import write_once
 from phenolith.sinks.state import write_transform_state
 from phenolith.sources.listings import latest_example_files, list_files
 from phenolith.sources.scans import read_examples
@@ -33,4 +33,4 @@ def latest_rows(enriched: DataFrame) -> DataFrame:
 
 def run_fit(rows: DataFrame, root: str, version: str | None = None) -> str:
     """Check shapes, fit on all rows, write the state; the rows are written once and read twice."""
-    return write_transform_state(cut_lineage(require_fixed_length(rows, fixed_shapes())), root, version)
+    return write_transform_state(write_once(require_fixed_length(rows, fixed_shapes()), "enriched"), root, version)

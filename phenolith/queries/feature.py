@@ -7,12 +7,12 @@ from phenolith.operators import features as FE
 from phenolith.plans.enrich import enrich
 from phenolith.queries import query
 from phenolith.schema import SCALED_COLUMNS, VOCABULARY_COLUMNS
-from phenolith.session import cut_lineage
+from phenolith.session import write_once
 
 
 def enriched(spark, sf):
     """Enriched rows, written once to the shared folder since fit and apply both read them."""
-    return cut_lineage(enrich(A.parsed_observations(spark, sf), A.readings(spark, sf), A.stations(spark, sf)))
+    return write_once(enrich(A.parsed_observations(spark, sf), A.readings(spark, sf), A.stations(spark, sf)), "enriched")
 
 
 def _total(c):

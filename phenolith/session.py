@@ -58,3 +58,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for a table that is written and read back."""
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    For results that several branches read with different columns: each branch scans only its own.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ from phenolith.functions import geo
 from phenolith.functions.sun import with_daylight
 from phenolith.operators.grouping import geodesic_box, group_extent
 from phenolith.schema import STATION_RADIUS_KM, WEATHER_COLUMNS, WEATHER_DAYS, WEATHER_LAG_DAYS
+from phenolith.session import cut_lineage
 
 # What the readings carry where a measurement is missing.
 MISSING_TEMPERATURE = 9999.9
@@ -173,7 +174,9 @@ def nearest_complete_station(observations: DataFrame, days: DataFrame, radius_km
     edges = []
     if prefilter:
         edges = ["box_north", "box_south", "box_east", "box_west"]
-        requests = requests.join(group_boxes(observations, radius_km).select("season_region_key", *edges), "season_region_key")
+        # One row per group, computed once for all rings.
+        boxes = cut_lineage(group_boxes(observations, radius_km).select("season_region_key", *edges))
+        requests = requests.join(boxes, "season_region_key")
     requests = requests.withColumn("end_year", F.year("end_day"))
     runs = _position(gap_free_runs(days, length)).withColumn(
         "end_year", F.explode(F.sequence(F.year("first_end"), F.year("last_end"))))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from phenolith.llm import sql
 from phenolith.llm.chat import format_chats
 from phenolith.llm.line_rules import quality_rules
+from phenolith.llm.near_duplicates import near_duplicates
 from phenolith.llm.secret_scan import scan_secrets, span_list
 
 
@@ -46,5 +47,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col("rules")[n].alias(n) for n in names])
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op4_secret_scans, op6_quality_rules)}
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op4_secret_scans, op6_quality_rules, op9_minhash_near_dedup)}
 SQL = {name: text for name, text in sql.TEXTS.items() if name in QUERIES}

@@ -7,6 +7,7 @@ from phenolith.llm import sql
 from phenolith.llm.chat import format_chats
 from phenolith.llm.line_rules import quality_rules
 from phenolith.llm.near_duplicates import near_duplicates
+from phenolith.llm.prefix_bpe import decode, encode
 from phenolith.llm.secret_scan import scan_secrets, span_list
 
 
@@ -30,6 +31,16 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = decode(encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = scan_secrets(table(spark, sf_dir, "documents"))
     of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -51,5 +62,5 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op4_secret_scans, op6_quality_rules, op9_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op3_byte_bpe, op4_secret_scans, op6_quality_rules, op9_minhash_near_dedup)}
 SQL = {name: text for name, text in sql.TEXTS.items() if name in QUERIES}

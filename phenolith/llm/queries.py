@@ -8,6 +8,7 @@ from phenolith.llm.chat import format_chats
 from phenolith.llm.line_rules import quality_rules
 from phenolith.llm.near_duplicates import near_duplicates
 from phenolith.llm.prefix_bpe import decode, encode
+from phenolith.llm.quality_model import score_quality
 from phenolith.llm.secret_scan import scan_secrets, span_list
 
 
@@ -31,6 +32,10 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -62,5 +67,5 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op3_byte_bpe, op4_secret_scans, op6_quality_rules, op9_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_quality_classifier, op3_byte_bpe, op4_secret_scans, op6_quality_rules, op9_minhash_near_dedup)}
 SQL = {name: text for name, text in sql.TEXTS.items() if name in QUERIES}

@@ -2,7 +2,7 @@
 
 Every token has a sparse random index vector that follows from its hash. The vector of a word is the sum of the index vectors around
 all its occurrences in the corpus; words share ``BUCKETS`` rows by hash, so the table has one size for any corpus and each task
-sends one row per bucket to the sums. A document is the mean and the spread of its words' vectors. A two-layer network in numpy is fitted
+sends one row per bucket to the sums. A document is the mean and the spread of its words' vectors and of the steps between them. A two-layer network in numpy is fitted
 to labelled documents, and one temperature, fitted on rows the network has not seen, calibrates its probabilities.
 """
 
@@ -18,6 +18,7 @@ from phenolith.llm.shingles import as_bytes, blocks, hash_spans, mix
 from phenolith.session import write_once
 
 BUCKETS, SIZE, SPARSE, WINDOW = 1 << 15, 32, 4, 2
+POOLED = 3 * SIZE
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 24, 40, 128, 3e-3, 1e-3
 FIT_ROWS = 20_000  # labelled rows that the network is fitted on: those with the smallest hashes of their keys
 _SPREAD = np.uint64(64 - 15)
@@ -93,16 +94,19 @@ def word_vectors(df: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def pooled(texts: list, vectors: np.ndarray) -> np.ndarray:
-    """Mean and spread of the word vectors of each text; zeros for texts without tokens."""
+    """Mean and spread of the word vectors of each text, and the spread of the steps between neighbours; zeros without tokens."""
     hashed, owner = tokens(texts)
     rows = vectors[(hashed >> _SPREAD).astype(np.int64)]
     n = np.bincount(owner, minlength=len(texts))
     starts, there = np.concatenate([[0], np.cumsum(n)])[:-1], n > 0
-    out = np.zeros((len(texts), 2 * SIZE))
+    out = np.zeros((len(texts), POOLED))
+    steps = np.zeros_like(rows)
+    steps[1:] = np.where((owner[1:] == owner[:-1])[:, None], rows[1:] - rows[:-1], 0)
     if there.any():
         total = np.add.reduceat(rows, starts[there], axis=0, dtype=np.float64) / n[there, None]
         square = np.add.reduceat(rows * rows, starts[there], axis=0, dtype=np.float64) / n[there, None]
-        out[there] = np.hstack([total, np.sqrt(np.maximum(square - total**2, 0))])
+        step = np.add.reduceat(steps * steps, starts[there], axis=0, dtype=np.float64) / n[there, None]
+        out[there] = np.hstack([total, np.sqrt(np.maximum(square - total**2, 0)), np.sqrt(step)])
     return out
 
 
@@ -125,7 +129,7 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logit(x) / self.temperature, -30, 30)))
 
 
-def constant(share: float, size: int = 2 * SIZE) -> Network:
+def constant(share: float, size: int = POOLED) -> Network:
     """A network that gives every text one probability: for labels of a single class or none at all (then 0.5)."""
     p = min(max(share, 0.01), 0.99)
     return Network(np.zeros(size), np.ones(size), np.zeros((size, 1)), np.zeros(1), np.zeros(1), float(np.log(p / (1 - p))))
@@ -194,13 +198,13 @@ def score_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     remainder = lambda c: F.crc32(c.cast("string")) % 5
     rows = features.join(known.where(remainder(F.col("key")) != 0), "key")
     some = rows.orderBy(F.xxhash64("key"), "key").limit(fit_rows).select((F.xxhash64("key", F.lit(1)) % 5 == 0).alias("spare"), "y", "features").toPandas()
-    x = np.array(some["features"].tolist(), dtype=float).reshape(len(some), 2 * SIZE)
+    x = np.array(some["features"].tolist(), dtype=float).reshape(len(some), POOLED)
     net = fit_network(x, (some["y"].to_numpy() > 0).astype(int), some["spare"].to_numpy().astype(bool)) if len(some) else constant(0.5)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("features")
-            p = net.probability(column.flatten().to_numpy().reshape(len(batch), 2 * SIZE).astype(float))
+            p = net.probability(column.flatten().to_numpy().reshape(len(batch), POOLED).astype(float))
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(p, pa.float64())], names=["key", "score"])
 
     kind = features.schema["key"].dataType.simpleString()

@@ -7,6 +7,7 @@ from phenolith.llm import sql
 from phenolith.llm.chat import format_chats
 from phenolith.llm.line_rules import quality_rules
 from phenolith.llm.near_duplicates import near_duplicates
+from phenolith.llm.personal_data import find_personal_data
 from phenolith.llm.prefix_bpe import decode, encode
 from phenolith.llm.quality_model import score_quality
 from phenolith.llm.secret_scan import scan_secrets, span_list
@@ -57,6 +58,14 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter("spans", lambda s: s["verdict"] == "example")).cast("long").alias("n_example"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[of(k) for k in ("email", "ip", "card", "phone")], F.sha2(span_list(F.filter("spans", lambda s: s["exact"])), 256).alias("base_sha256"),
+        span_list(F.col("spans")).alias("spans"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_bad_lines", "kept"]
@@ -67,5 +76,5 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_quality_classifier, op3_byte_bpe, op4_secret_scans, op6_quality_rules, op9_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_quality_classifier, op3_byte_bpe, op4_secret_scans, op5_personal_data, op6_quality_rules, op9_minhash_near_dedup)}
 SQL = {name: text for name, text in sql.TEXTS.items() if name in QUERIES}

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phenolith.llm import sql
+from phenolith.llm.archive import read_archive, write_archive
 from phenolith.llm.chat import format_chats
 from phenolith.llm.line_rules import quality_rules
 from phenolith.llm.near_duplicates import near_duplicates
@@ -11,6 +12,7 @@ from phenolith.llm.personal_data import find_personal_data
 from phenolith.llm.prefix_bpe import decode, encode
 from phenolith.llm.quality_model import score_quality
 from phenolith.llm.secret_scan import scan_secrets, span_list
+from phenolith.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,5 +78,12 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_quality_classifier, op3_byte_bpe, op4_secret_scans, op5_personal_data, op6_quality_rules, op9_minhash_near_dedup)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "archive")
+    write_archive(table(spark, sf_dir, "pages"), folder)
+    return read_archive(spark, folder).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_quality_classifier, op3_byte_bpe, op4_secret_scans, op5_personal_data, op6_quality_rules, op9_minhash_near_dedup, op10_warc)}
 SQL = {name: text for name, text in sql.TEXTS.items() if name in QUERIES}

@@ -98,4 +98,19 @@ SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER
 FROM given d LEFT JOIN kept k ON d.doc_id = k.doc_id GROUP BY d.doc_id
 """
 
-TEXTS = {"op1_chat_formatting": CHAT, "op4_secret_scans": SECRETS, "op6_quality_rules": RULES}
+_NIBBLES = "array_to_string(list_transform(string_split(sha1(html), ''), lambda x: right('000' || bin(instr('0123456789abcdef', x) - 1), 4)), '')"
+
+WARC = f"""
+WITH given AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+hashed AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {_NIBBLES} AS bits FROM given),
+named AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+    + substr(bits, 5 * i + 1, 1)::INT * 16 + substr(bits, 5 * i + 2, 1)::INT * 8 + substr(bits, 5 * i + 3, 1)::INT * 4
+    + substr(bits, 5 * i + 4, 1)::INT * 2 + substr(bits, 5 * i + 5, 1)::INT, 1)), '') AS payload_digest FROM hashed),
+first AS (SELECT payload_digest, min(page_id) AS page FROM named GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id > page THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > page THEN page END AS refers_to
+FROM named JOIN first USING (payload_digest)
+"""
+
+TEXTS = {"op1_chat_formatting": CHAT, "op4_secret_scans": SECRETS, "op6_quality_rules": RULES, "op10_warc": WARC}

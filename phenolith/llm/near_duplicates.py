@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenolith.llm.components import components
-from phenolith.llm.shingles import as_bytes, blocks, shingle_sets
+from phenolith.llm.shingles import shingle_sets, text_blocks
 from phenolith.llm.similarity_sketch import ROWS, band_keys, bands_for, sketches
 from phenolith.session import write_once
 
@@ -32,9 +32,8 @@ def _set_key(values: np.ndarray) -> bytes | None:
 def _sketcher(width: int, bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = as_bytes(batch.column("text"))
-            for lo, hi in blocks(texts):
-                values, begins = shingle_sets(texts[lo:hi], width)
+            for lo, hi, texts in text_blocks(batch.column("text")):
+                values, begins = shingle_sets(texts, width)
                 keys = band_keys(sketches(values, begins, bands * ROWS)).view(np.int64)
                 sizes = np.diff(begins)
                 yield pa.RecordBatch.from_arrays([
@@ -49,9 +48,8 @@ def _sketcher(width: int, bands: int):
 def _set_maker(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = as_bytes(batch.column("text"))
-            for lo, hi in blocks(texts):
-                values, begins = shingle_sets(texts[lo:hi], width)
+            for lo, hi, texts in text_blocks(batch.column("text")):
+                values, begins = shingle_sets(texts, width)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([_set_key(values[begins[i] : begins[i + 1]]) for i in range(hi - lo)], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(values.view(np.int64), pa.int64()))], names=["node", "set"])

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenolith.llm.shingles import blocks
+from phenolith.llm.shingles import text_blocks
 
 MEMO = 300_000  # pieces and token pairs remembered in a worker; what is forgotten is computed again
 
@@ -185,11 +185,10 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
         vocabulary, split = _vocabulary(lines), regex.compile(pattern).findall
         piece, known = vocabulary.piece, vocabulary._pieces
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for lo, hi in blocks(texts):
+            for lo, hi, texts in text_blocks(batch.column("text")):
                 found = []
-                for t in texts[lo:hi]:
-                    parts = split(t) if t else []
+                for t in texts:
+                    parts = split(t.decode()) if t else []
                     found.append(array("i", chain.from_iterable([known.get(p) or piece(p) for p in parts])))
                 yield pa.RecordBatch.from_arrays([batch.column("key")[lo:hi], _lists(found, pa.int32())], names=["key", "ids"])
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenolith.llm.shingles import as_bytes, blocks, hash_spans, mix
+from phenolith.llm.shingles import hash_spans, mix, text_blocks
 from phenolith.session import write_once
 
 BUCKETS, SIZE, SPARSE, WINDOW = 1 << 15, 32, 4, 2
@@ -57,9 +57,8 @@ def _index(hashed: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table, counts = np.zeros(BUCKETS * SIZE, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
     for batch in batches:
-        texts = as_bytes(batch.column("text"))
-        for lo, hi in blocks(texts):
-            hashed, owner = tokens(texts[lo:hi])
+        for lo, hi, texts in text_blocks(batch.column("text")):
+            hashed, owner = tokens(texts)
             bucket = (hashed >> _SPREAD).astype(np.int64)
             counts += np.bincount(bucket, minlength=BUCKETS)
             entries = [_index(hashed, k) for k in range(SPARSE)]
@@ -171,9 +170,8 @@ def document_vectors(df: DataFrame, vectors: np.ndarray, key: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = as_bytes(batch.column("text"))
-            for lo, hi in blocks(texts):
-                x = pooled(texts[lo:hi], vectors)
+            for lo, hi, texts in text_blocks(batch.column("text")):
+                x = pooled(texts, vectors)
                 yield pa.RecordBatch.from_arrays([batch.column("key")[lo:hi], pa.ListArray.from_arrays(
                     pa.array(np.arange(hi - lo + 1) * x.shape[1], pa.int32()), pa.array(x.ravel().astype(np.float32), pa.float32()))], names=["key", "features"])
 

@@ -8,6 +8,7 @@ from phenolith.llm.archive import read_archive, write_archive
 from phenolith.llm.chat import format_chats
 from phenolith.llm.line_rules import quality_rules
 from phenolith.llm.near_duplicates import near_duplicates
+from phenolith.llm.near_vectors import near_vectors
 from phenolith.llm.packing import pack_best_fit
 from phenolith.llm.personal_data import find_personal_data
 from phenolith.llm.prefix_bpe import decode, encode
@@ -75,6 +76,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col("rules")[n].alias(n) for n in names])
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_best_fit(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -90,5 +95,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_quality_classifier, op3_byte_bpe, op4_secret_scans, op5_personal_data, op6_quality_rules, op8_best_fit_packing, op9_minhash_near_dedup, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_quality_classifier, op3_byte_bpe, op4_secret_scans, op5_personal_data, op6_quality_rules, op7_embedding_near_dedup, op8_best_fit_packing, op9_minhash_near_dedup, op10_warc)}
 SQL = {name: text for name, text in sql.TEXTS.items() if name in QUERIES}

@@ -4,8 +4,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20  # texts are taken together up to this size; a longer text is a block by itself
+BLOCK_BYTES = 1 << 18  # texts are taken together up to this size; a longer text is a block by itself
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -43,16 +44,15 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.nd
         return mix(value + (stops - starts).astype(np.uint64) * _PLACES[0])
 
 
-def blocks(texts: list) -> Iterator[tuple[int, int]]:
-    """Consecutive ranges of texts of about ``BLOCK_BYTES``."""
+def text_blocks(column: pa.Array) -> Iterator[tuple[int, int, list]]:
+    """Consecutive ranges of a string column of about ``BLOCK_BYTES``, each with its texts as UTF-8 bytes (None for null)."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     begin, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text or b"") + 1
-        if size >= BLOCK_BYTES:
-            yield begin, i + 1
+    for i, n in enumerate(sizes.tolist()):
+        size += n + 1
+        if size >= BLOCK_BYTES or i + 1 == len(sizes):
+            yield begin, i + 1, column[begin : i + 1].cast(pa.binary() if column.type == pa.string() else pa.large_binary()).to_pylist()
             begin, size = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
 
 
 def word_hashes(texts: list, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -95,9 +95,3 @@ def shingle_sets(texts: list, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     fresh = np.ones(len(values), dtype=bool)
     fresh[1:] = (owners[1:] != owners[:-1]) | (values[1:] != values[:-1])
     return values[fresh], np.concatenate([[0], np.cumsum(np.bincount(owners[fresh], minlength=len(texts)))])
-
-
-def as_bytes(column: pa.Array) -> list:
-    """The UTF-8 bytes of a string column; None for null."""
-    kind = pa.large_binary() if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else pa.binary()
-    return column.cast(kind).to_pylist()

@@ -1,11 +1,78 @@
-"""From documents to packed sequences."""
+"""From documents to packed sequences: rules, classifier, near-duplicates, secrets, packing.
 
+Each stage takes (spark, docs, sf_dir), works on all that the one before it kept and returns the columns of ``docs``, but for the last,
+which returns the packed pieces. ``run`` writes what a stage returns as Parquet and reads it back for the next.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from phenolith.llm.line_rules import quality_rules
+from phenolith.llm.near_duplicates import near_duplicates
+from phenolith.llm.packing import pack_best_fit
+from phenolith.llm.quality_model import fit_quality, with_scores
+from phenolith.llm.secret_scan import base_spans, redact, scan_secrets
+from phenolith.session import write_once
+
+SCORE_CUT = 0.3
+NEAR_PERCENT = 80
+
+
+def _with_text(docs: DataFrame, text, columns: list[str]) -> DataFrame:
+    """``columns`` with a new text and, where there is such a column, its length."""
+    changed = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in columns else {})
+    return docs.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in columns])
+
+
+def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bad lines go, and so do documents that fail the rules or lose too much."""
+    judged = quality_rules(docs).where(F.col("rules.kept"))
+    return _with_text(judged, F.col("rules.clean_text"), docs.columns)
+
+
+def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the cut go. The model comes from the labelled documents as they were given: what is left here is of one class."""
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    vectors, net = fit_quality(given, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return with_scores(docs, vectors, net, score="_score").where(F.col("_score") >= SCORE_CUT).drop("_score")
+
+
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one with the smallest id; of repeated rows of an id, one."""
+    found = write_once(near_duplicates(docs, percent=NEAR_PERCENT), "near-duplicates")
+    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    stay = docs.join(gone, "doc_id", "left_anti")
+    repeated = write_once(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if not repeated.isEmpty():
+        stay = stay.join(repeated, "doc_id", "left_anti").unionByName(stay.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return stay.select(*docs.columns)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in their documents; values that many owners share are examples and stay. Without an id, all base spans are masked."""
+    masked = F.filter("spans", lambda s: s["verdict"] != "example")
+    place = F.transform(masked, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
+    found = scan_secrets(docs).select("doc_id", place.alias("_spans")).where((F.size("_spans") > 0) & F.col("doc_id").isNotNull())
+    joined = docs.join(found, "doc_id", "left")
+    bare = F.transform(F.array_sort(base_spans(F.col("text")), lambda a, b: a["start"] - b["start"]), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
+    spans = F.coalesce("_spans", F.when(F.col("doc_id").isNull(), bare))
+    return _with_text(joined, F.when(spans.isNull(), F.col("text")).otherwise(redact(F.col("text"), spans)), docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_best_fit(docs)
+
+
+STAGES = [
+    ("quality rules", rules_stage), ("quality classifier", classifier_stage), ("minhash near-dedup", near_duplicates_stage),
+    ("secret scans", secrets_stage), ("best-fit packing", packing_stage)]
+
+#: A trained network decides in the second stage; SQL can't express it.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = write_once(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -6,16 +6,17 @@ sends one row per bucket to the sums. A document is the mean and the spread of i
 to labelled documents, and one temperature, fitted on rows the network has not seen, calibrates its probabilities.
 """
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
 
 from phenolith.llm.shingles import hash_spans, mix, text_blocks
-from phenolith.session import write_once
 
 BUCKETS, SIZE, SPARSE, WINDOW = 1 << 15, 32, 4, 2
 POOLED = 3 * SIZE
@@ -165,47 +166,70 @@ def fit_network(x: np.ndarray, y: np.ndarray, spare: np.ndarray, seed: int = 5)
     return net
 
 
-def document_vectors(df: DataFrame, vectors: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``features`` (array of doubles) of every whole text."""
+def document_vectors(df: DataFrame, vectors: np.ndarray, key: str = "doc_id", text: str = "text", more: list[str] | None = None) -> DataFrame:
+    """``key``, the columns ``more`` and ``features`` (array of floats) of every whole text."""
+    names = [key, *(more or [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, texts in text_blocks(batch.column("text")):
+            for lo, hi, texts in text_blocks(batch.column(text)):
                 x = pooled(texts, vectors)
-                yield pa.RecordBatch.from_arrays([batch.column("key")[lo:hi], pa.ListArray.from_arrays(
-                    pa.array(np.arange(hi - lo + 1) * x.shape[1], pa.int32()), pa.array(x.ravel().astype(np.float32), pa.float32()))], names=["key", "features"])
+                features = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * x.shape[1], pa.int32()), pa.array(x.ravel().astype(np.float32), pa.float32()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in names), features], names=[*names, "features"])
 
-    given = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
-    kind = given.schema["key"].dataType.simpleString()
-    return given.mapInArrow(run, f"key {kind}, features array<float>").withColumnRenamed("key", key)
+    given = df.select(*names, F.col(text).cast("string").alias(text))
+    return given.mapInArrow(run, StructType([*(given.schema[c] for c in names), StructField("features", ArrayType(FloatType()))]))
 
 
-def score_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-                  cut: float = 0.3, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """One row per row of ``df``: ``key``, ``held_out``, ``score`` (probability of label 1) and ``predicted`` (1 from ``cut`` on).
+def _learnable(key: str) -> Column:
+    """Rows whose crc32 of the key as text isn't divisible by 5."""
+    return F.crc32(F.col(f"`{key}`").cast("string")) % 5 != 0
 
-    Word vectors come from all texts of ``df``. The network is fitted to rows of ``labels`` whose crc32 of the key as text isn't
-    divisible by 5, at most ``fit_rows`` of them (those with the smallest hashes of their keys); a fifth of these sets the temperature. The score's
-    only input is the text. Null and empty texts have the vector zero and get its score; null labels and null keys are not learned from,
-    repeated rows of a key count as often as they come; with labels of one class, or none, all texts get one score. An empty
-    table gives an empty one, other columns are left out. Null keys are scored like others and not held out.
+
+def fit_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
+                fit_rows: int = FIT_ROWS) -> tuple[np.ndarray, Network]:
+    """Word vectors of all texts of ``df`` and the network, fitted to at most ``fit_rows`` labelled rows.
+
+    Of the rows of ``labels`` whose crc32 of the key as text isn't divisible by 5 those with the smallest hashes of their keys are taken; a
+    fifth of them sets the temperature. Null labels and null keys are not learned from, a repeated key counts as often as it comes, and labels of one class
+    or none give a network with one score for all texts.
     """
     vectors = word_vectors(df, text)
-    features = write_once(document_vectors(df, vectors, key, text).withColumnRenamed(key, "key"), "document-vectors")
-    known = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("y")).where("key is not null and y is not null")
-    remainder = lambda c: F.crc32(c.cast("string")) % 5
-    rows = features.join(known.where(remainder(F.col("key")) != 0), "key")
-    some = rows.orderBy(F.xxhash64("key"), "key").limit(fit_rows).select((F.xxhash64("key", F.lit(1)) % 5 == 0).alias("spare"), "y", "features").toPandas()
-    x = np.array(some["features"].tolist(), dtype=float).reshape(len(some), POOLED)
-    net = fit_network(x, (some["y"].to_numpy() > 0).astype(int), some["spare"].to_numpy().astype(bool)) if len(some) else constant(0.5)
+    known = labels.where(_learnable(key)).select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("y")).where("key is not null and y is not null")
+    present = df.select(F.col(f"`{key}`").alias("key")).distinct()
+    some = known.join(present, "key").orderBy(F.xxhash64("key"), "key", "y").limit(fit_rows)
+    texts = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    chosen = texts.join(F.broadcast(some), "key")  # at most fit_rows rows of a key and a number
+    rows = document_vectors(chosen, vectors, "key", "text", ["y"]).toPandas()
+    if not len(rows):
+        return vectors, constant(0.5)
+    rows = rows.sort_values(["key", "y"], kind="stable")  # the order of fitting doesn't depend on that of tasks
+    spare = np.array([zlib.crc32(b"%d" % zlib.crc32(str(k).encode())) % 5 == 0 for k in rows["key"]])
+    return vectors, fit_network(np.array(rows["features"].tolist(), dtype=float), (rows["y"].to_numpy() > 0).astype(int), spare)
+
+
+def with_scores(df: DataFrame, vectors: np.ndarray, net: Network, text: str = "text", score: str = "score") -> DataFrame:
+    """``df`` with the score of each whole text; all columns pass through the tasks, and nothing is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("features")
-            p = net.probability(column.flatten().to_numpy().reshape(len(batch), POOLED).astype(float))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(p, pa.float64())], names=["key", "score"])
+            for lo, hi, texts in text_blocks(batch.column(text).cast(pa.string())):
+                p = pa.array(net.probability(pooled(texts, vectors)), pa.float64())
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, p], names=[*batch.schema.names, score])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(score, DoubleType())]))
 
-    kind = features.schema["key"].dataType.simpleString()
-    scored = features.select("key", "features").mapInArrow(run, f"key {kind}, score double")
+
+def score_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
+                  cut: float = 0.3, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """One row per row of ``df``: ``key``, ``held_out``, ``score`` (probability of label 1) and ``predicted`` (1 from ``cut`` on).
+
+    The score's only input is the text. ``held_out`` marks rows that ``fit_quality`` doesn't learn from. Null and empty texts have the vector zero and get its
+    score. Repeated rows get the same score each, an empty table gives an empty one, null keys are scored like others and not held out, and other columns
+    are left out.
+    """
+    vectors, net = fit_quality(df, labels, key, text, label, fit_rows)
+    given = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+    scored = with_scores(given, vectors, net).drop("text")
     return scored.select(
-        F.col("key").alias(key), F.coalesce(remainder(F.col("key")) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+        F.col("key").alias(key), F.coalesce(~_learnable("key"), F.lit(False)).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))

@@ -20,8 +20,9 @@ NEAR_PERCENT = 80
 
 def _with_text(docs: DataFrame, text, columns: list[str]) -> DataFrame:
     """``columns`` with a new text and, where there is such a column, its length."""
-    changed = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in columns else {})
-    return docs.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in columns])
+    new = docs.withColumn("_new", text)
+    changed = {"text": F.col("_new")} | ({"n_chars": F.length("_new").cast(docs.schema["n_chars"].dataType)} if "n_chars" in columns else {})
+    return new.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in columns])
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,9 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a given table over all cores: each table is one file, hence one scan task, and the columns
-    derived from it cost far more than moving its few raw ones."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    """Rows of a small given table over all cores: it is one file, hence one scan task, and the columns derived from it
+    cost far more than moving its few raw ones. A table that fills the cores with scan tasks is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 LATITUDE = "case when {k} % 97 = 0 then 0.0D else 25.0D + cast(({k} * 37) % 120 as double) / 10.0D end"
@@ -142,9 +143,9 @@ def eval_runs(spark, sf_dir: str) -> DataFrame:
 
 
 def scores(spark, sf_dir: str) -> DataFrame:
-    """Labels with a score between 0 and 1."""
-    return table(spark, sf_dir, "labels").selectExpr(
-        "doc_id", "cast(quality as double) as label", "cast(doc_id % 97 + 1 as double) / 99.0D as score")
+    """One label and score between 0 and 1 per event; nearly every score is another."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id", "cast(case when user_id % 3 = 0 then 1 else 0 end as double) as label", "cast((event_id * 7919) % 99991 + 1 as double) / 100000.0D as score")
 
 
 def elevation_lookup(spark, sf_dir: str) -> DataFrame:

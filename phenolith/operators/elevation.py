@@ -29,7 +29,8 @@ def fill_elevation(df: DataFrame, lookup: DataFrame, tolerance: float = TOLERANC
         wanted.withColumns({"cy": cell("latitude"), "cx": cell("longitude")})
         .join(known, ["cy", "cx"]).where(near)
         .groupBy("latitude", "longitude").agg(F.min_by("found", "position").alias("found")))
-    filled = df.join(first, ["latitude", "longitude"], "left")
-    return (
-        filled.withColumn("elevation", F.coalesce("elevation", F.col("found").cast("long")))
-        .where(F.col("elevation").isNotNull()).select(*df.columns))
+    # Only rows without an elevation are joined; the others pass as they are.
+    kind = df.schema["elevation"].dataType
+    filled = df.where(F.col("elevation").isNull()).drop("elevation").join(first, ["latitude", "longitude"])
+    found = filled.withColumn("elevation", F.col("found").cast("long").cast(kind)).where(F.col("elevation").isNotNull())
+    return df.where(F.col("elevation").isNotNull()).unionByName(found.select(*df.columns))

@@ -44,7 +44,7 @@ def keyset_ranges(df: DataFrame, key: str, rows: int) -> DataFrame:
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     numbered = number_rows(counts, [key], "_pos")
-    totals = _running_total(numbered, "_pos", "_n")
+    totals = running_totals(numbered, "_pos", ["_n"]).withColumnRenamed("_n_before", "_before")
     # Multiples of ``rows`` among the positions of a key: the first and the last range that it starts.
     lowest = F.floor((F.col("_before") + (rows - 1)) / rows)
     highest = F.floor((F.col("_before") + F.col("_n") - 1) / rows)
@@ -55,19 +55,19 @@ def keyset_ranges(df: DataFrame, key: str, rows: int) -> DataFrame:
         "range_no", "start_key", F.coalesce("end_key", F.lit(0)).alias("end_key"))
 
 
-def _running_total(numbered: DataFrame, position: str, amount: str, block: int = 100_000) -> DataFrame:
-    """Add ``_before``: the sum of ``amount`` over all earlier positions, block by block."""
+def running_totals(numbered: DataFrame, position: str, amounts: list[str], block: int = 100_000) -> DataFrame:
+    """Add ``<amount>_before``: the sum of each amount over all earlier positions, block by block.
+
+    The blocks' own sums, one row per ``block`` positions, are added up in one task.
+    """
     blocked = numbered.withColumn("_block", F.floor(F.col(position) / block))
-    sums = blocked.groupBy("_block").agg(F.sum(amount).alias("_s"))
-    before_block = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # 1 row in 100,000
-    offsets = sums.select("_block", F.coalesce(F.sum("_s").over(before_block), F.lit(0)).alias("_o"))
+    sums = blocked.groupBy("_block").agg(*[F.sum(a).alias(f"_s_{a}") for a in amounts])
+    before_block = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_block", *[F.coalesce(F.sum(f"_s_{a}").over(before_block), F.lit(0)).alias(f"_o_{a}") for a in amounts])
     before_row = Window.partitionBy("_block").orderBy(position).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        blocked.withColumn("_r", F.coalesce(F.sum(amount).over(before_row), F.lit(0)))
-        .join(offsets, "_block")
-        .withColumn("_before", F.col("_r") + F.col("_o"))
-        .drop("_r", "_o", "_block")
-    )
+    within = blocked.withColumns({f"_r_{a}": F.coalesce(F.sum(a).over(before_row), F.lit(0)) for a in amounts})
+    joined = within.join(offsets, "_block")
+    return joined.select(*numbered.columns, *[(F.col(f"_r_{a}") + F.col(f"_o_{a}")).alias(f"{a}_before") for a in amounts])
 
 
 def in_batches(df: DataFrame, n: int, order: list[Column | str]) -> DataFrame:
@@ -79,10 +79,14 @@ def in_batches(df: DataFrame, n: int, order: list[Column | str]) -> DataFrame:
 def truncate_per_group(df: DataFrame, group: str, total: int, order: list[str], strict: bool = False) -> DataFrame:
     """The first rows of each group: ``total + 1`` of them, or ``total`` when ``strict``.
 
-    The limit is applied before the shuffle too, so a hot group sends few rows per task.
+    Up to the engine's threshold for group limits each task keeps that many rows of a group before the shuffle. Beyond it the
+    rows are numbered by range partitions, which cut a hot group; both ways give the same rows.
     """
+    keep = total + (0 if strict else 1)
+    if keep > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        return number_rows(df, order, "_rank", group).where(F.col("_rank") < keep).drop("_rank")
     rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= total + (0 if strict else 1)).drop("_rank")
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= keep).drop("_rank")
 
 
 def shuffle_rows(df: DataFrame, order_key: Column) -> DataFrame:

@@ -8,7 +8,7 @@ from phenolith.functions import geo
 from phenolith.functions.sun import with_daylight
 from phenolith.operators.grouping import geodesic_box, group_extent
 from phenolith.schema import STATION_RADIUS_KM, WEATHER_COLUMNS, WEATHER_DAYS, WEATHER_LAG_DAYS
-from phenolith.session import cut_lineage
+from phenolith.session import cut_lineage, write_once
 
 # What the readings carry where a measurement is missing.
 MISSING_TEMPERATURE = 9999.9
@@ -135,16 +135,20 @@ def group_boxes(observations: DataFrame, radius_km: float = STATION_RADIUS_KM) -
 def _search_ring(requests: DataFrame, runs: DataFrame, keys: list[str], edges: list[str], ring_km: float, cell: float) -> DataFrame:
     """The nearest complete station within a ring for each request, as struct ``best``."""
     reach = geo.reachable_cells("station_lat", "station_lon", ring_km, cell)
-    near = runs.select("station_key", "station_lat", "station_lon", "first_end", "last_end", "end_year", F.inline(reach))
+    near = runs.select("station_key", "station_lat", "station_lon", "first_end", "last_end", "end_month", F.inline(reach))
     placed = requests.withColumns({"cell_y": geo.cell_y("latitude", cell), "cell_x": geo.cell_x("longitude", cell)})
-    cell_keys = ["cell_y", "cell_x", "end_year"]
+    cell_keys = ["cell_y", "cell_x", "end_month"]
     pairs = placed.join(near, cell_keys).where("end_day between first_end and last_end")
     if edges:
         pairs = pairs.where("station_lat between box_south and box_north and station_lon between box_west and box_east")
     km = F.round(geo.haversine_km("latitude", "longitude", "station_lat", "station_lon"), 6)
     pairs = pairs.withColumn("km", km).where(F.col("km") <= ring_km)
-    # The cell columns follow from the position; as grouping keys they spare a second shuffle.
-    return pairs.groupBy(*keys, *cell_keys).agg(F.min(F.struct("km", "station_key")).alias("best")).select(*keys, "best.*")
+    # Grouped by the request alone, so that a cell with very many pairs can be split by the join.
+    return pairs.groupBy(*keys).agg(F.min(F.struct("km", "station_key")).alias("best")).select(*keys, "best.*")
+
+
+def _month(day: str):
+    return F.year(day) * 12 + F.month(day)
 
 
 def nearest_complete_station(observations: DataFrame, days: DataFrame, radius_km: float = STATION_RADIUS_KM,
@@ -177,13 +181,15 @@ def nearest_complete_station(observations: DataFrame, days: DataFrame, radius_km
         # One row per group, computed once for all rings.
         boxes = cut_lineage(group_boxes(observations, radius_km).select("season_region_key", *edges))
         requests = requests.join(boxes, "season_region_key")
-    requests = requests.withColumn("end_year", F.year("end_day"))
-    runs = _position(gap_free_runs(days, length)).withColumn(
-        "end_year", F.explode(F.sequence(F.year("first_end"), F.year("last_end"))))
+    requests = requests.withColumn("end_month", _month("end_day"))
+    # One row per run: small, and every ring reads it. Months keep the key of a place with very many stations from being one task's work.
+    runs = write_once(_position(gap_free_runs(days, length)), "runs").withColumn("end_month", F.explode(F.sequence(_month("first_end"), _month("last_end"))))
 
     found = None
     for ring_km, ring_cell in [*((r, c) for r, c in inner_rings if r < radius_km), (radius_km, cell)]:
         best = _search_ring(requests, runs, keys, edges, ring_km, ring_cell)
+        if ring_km < radius_km:
+            best = write_once(best, "ring")
         found = best if found is None else found.unionByName(best)
         if ring_km < radius_km:
             requests = requests.join(best.select(*keys), keys, "left_anti")
@@ -206,7 +212,7 @@ def unmatched_observations(observations: DataFrame, days: DataFrame, **options)
     return match_stations(observations, days, how="left_anti", **options)
 
 
-def weather_blocks(days: DataFrame, length: int = WEATHER_DAYS) -> DataFrame:
+def weather_blocks(days: DataFrame, length: int = WEATHER_DAYS, wanted: DataFrame | None = None) -> DataFrame:
     """Arrays of readings per station and block of ``length`` days, each with the block before it.
 
     Every window lies in the block of its last day, so one equi-join fetches it. A block holds at most
@@ -216,6 +222,8 @@ def weather_blocks(days: DataFrame, length: int = WEATHER_DAYS) -> DataFrame:
     twice = days.select(
         "station_key", F.unix_date("day").alias("n"), *WEATHER_COLUMNS,
         F.explode(F.array(block, block + 1)).alias("block"))
+    if wanted is not None:
+        twice = twice.join(wanted, ["station_key", "block"], "left_semi")
     rows = F.sort_array(F.collect_list(F.struct("n", *WEATHER_COLUMNS)))
     blocks = twice.groupBy("station_key", "block").agg(rows.alias("rows"))
     return blocks.select("station_key", "block", F.col("rows.n").alias("ns"),
@@ -223,9 +231,9 @@ def weather_blocks(days: DataFrame, length: int = WEATHER_DAYS) -> DataFrame:
 
 
 def attach_windows(matched: DataFrame, days: DataFrame, length: int = WEATHER_DAYS) -> DataFrame:
-    """Add the readings of the window, oldest first, as one array per measure."""
+    """Add the readings of the window, oldest first, as one array per measure. Only blocks that a window lies in are put together."""
     left = matched.withColumn("block", F.floor(F.unix_date("end_day") / length).cast("int"))
-    joined = left.join(weather_blocks(days, length), ["station_key", "block"])
+    joined = left.join(weather_blocks(days, length, left.select("station_key", "block").distinct()), ["station_key", "block"])
     start = F.array_position("ns", F.unix_date("end_day") - (length - 1)).cast("int")
     joined = joined.withColumn("_start", start)
     return joined.select(

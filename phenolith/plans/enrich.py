@@ -1,11 +1,12 @@
 """Observations in, enriched rows by category out."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from phenolith.operators import observations as O
 from phenolith.operators import weather as W
 from phenolith.session import write_once
-from phenolith.sinks.writers import write_by_category
+from phenolith.sinks.writers import read_by_category, unroutable, write_by_category
 
 
 def union_examples(*parts: DataFrame) -> DataFrame:
@@ -29,15 +30,37 @@ def enrich(parsed: DataFrame, readings: DataFrame, stations: DataFrame, null_sen
     return W.usable_daylight(W.nearest_complete_window(good, days, **options)).drop("end_day", "season_region_key")
 
 
-def readings_of_span(readings: DataFrame, parsed: DataFrame) -> DataFrame:
+def readings_of_span(readings: DataFrame, observations: DataFrame) -> DataFrame:
     """Readings of the years that the windows touch, as a literal filter that prunes partitions.
 
     The span is one row; knowing it before planning is what lets the scan skip whole years.
     """
-    years = sorted({r["year"] for r in W.year_month_plan(O.valid_observations(parsed)).collect()})
+    years = sorted({r["year"] for r in W.year_month_plan(observations).collect()})
     return readings.where(readings["year"].cast("int").isin(years))
 
 
-def run_enrich(parsed: DataFrame, readings: DataFrame, stations: DataFrame, root: str, version: str, **options) -> None:
-    rows = enrich(parsed, readings_of_span(readings, parsed), stations, **options)
+def run_enrich(parsed: DataFrame, readings: DataFrame, stations: DataFrame, root: str, version: str, null_sentinels: bool = False, **options) -> str:
+    """Enrich and write one version; every row that isn't written is a reject with its reasons. Returns the folder of the rejects.
+
+    The folder is ``<root>-rejects/<version>``. Reasons beyond those of validation: ``year``, ``category_unroutable``, ``no_complete_station`` and
+    ``no_daylight``. Documents are parsed once for the good rows and once for the rejects; rows of a version written again are replaced.
+    """
+    valid = write_once(O.valid_observations(parsed).select(*O.OBSERVATION_COLUMNS), "valid")
+    good = write_once(O.filter_year(valid), "observations")
+    days = write_once(W.station_days(W.join_weather_stations(readings_of_span(readings, good), stations), null_sentinels), "station-days")
+    matched = write_once(W.match_stations(good, days, **options), "matched")
+    rows = W.usable_daylight(W.attach_windows(matched, days, options.get("length", W.WEATHER_DAYS)))
     write_by_category(rows.select(*O.OBSERVATION_COLUMNS, *W.WEATHER_COLUMNS), root, version)
+
+    because = lambda df, reason: df.select("example_id", F.array(F.lit(reason)).alias("reasons"))
+    homeless = unroutable(matched, version)
+    written = read_by_category(good.sparkSession, root).where(
+        F.when(F.col("kind") == "random", F.col("part_a")).otherwise(F.col("part_b")).cast("string") == version).select("example_id")
+    rest = matched.join(homeless.select("example_id"), "example_id", "left_anti").join(written, "example_id", "left_anti")
+    rejects = union_examples(
+        O.rejected_observations(parsed), because(valid.join(good.select("example_id"), "example_id", "left_anti"), "year"),
+        because(good.join(matched.select("example_id"), "example_id", "left_anti"), "no_complete_station"),
+        because(homeless, "category_unroutable"), because(rest, "no_daylight"))
+    folder = f"{root}-rejects/{version}"
+    rejects.write.mode("overwrite").parquet(folder)
+    return folder

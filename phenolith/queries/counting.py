@@ -102,6 +102,13 @@ def truncate_per_group(spark, sf):
     return N.truncate_per_group(A.observations(spark, sf).select("category", "example_id"), "category", 100, ["example_id"])
 
 
+@query("""SELECT category, example_id FROM (
+    SELECT category, example_id, row_number() OVER (PARTITION BY category ORDER BY example_id) AS rn FROM obs) WHERE rn <= 1501""")
+def truncate_per_group_beyond_threshold(spark, sf):
+    """A limit above the engine's threshold for limits per group: rows are numbered, no group is sorted in one task."""
+    return N.truncate_per_group(A.observations(spark, sf).select("category", "example_id"), "category", 1500, ["example_id"])
+
+
 @query("""SELECT example_id, (row_number() OVER (ORDER BY example_id) - 1) // 200 AS batch FROM obs""")
 def in_batches(spark, sf):
     return N.in_batches(A.observations(spark, sf).select("example_id"), 200, ["example_id"])

@@ -26,11 +26,27 @@ VERSION = "1700000000"
   FROM (SELECT {ROUTING} AS c FROM obs) GROUP BY ALL""")
 def write_by_category(spark, sf):
     root = scratch_path(spark, "by-category")
-    W.write_by_category(A.observations(spark, sf), root, VERSION)
+    for _ in range(2):  # a version that is written again replaces itself
+        W.write_by_category(A.observations(spark, sf), root, VERSION)
     back = W.read_by_category(spark, root)
     return back.groupBy(*[F.col(c).cast("string").alias(c) for c in W.LAYOUT]).agg(F.count("*").alias("n"))
 
 
+@query("""SELECT reason, n FROM (
+    SELECT 'written' AS reason, count(*) AS n FROM matched
+    UNION ALL SELECT 'no_complete_station', (SELECT count(*) FROM obs) - (SELECT count(*) FROM matched)
+    UNION ALL SELECT 'invalid', (SELECT count(*) FROM parsed) - (SELECT count(*) FROM obs)) WHERE n > 0""")
+def enrich_accounting(spark, sf):
+    """Every parsed row is either written or a reject of the job, once."""
+    root = f"{scratch_path(spark, 'accounting')}/rows"
+    folder = run_enrich(A.parsed_observations(spark, sf), A.readings(spark, sf), A.stations(spark, sf), root, VERSION)
+    own = ("year", "no_complete_station", "category_unroutable", "no_daylight")
+    first = F.element_at("reasons", 1)
+    rejects = spark.read.parquet(folder).select(F.when(first.isin(*own), first).otherwise("invalid").alias("reason"))
+    written = W.read_by_category(spark, root).select(F.lit("written").alias("reason"))
+    return written.unionByName(rejects).groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @query(f"SELECT split, count(*) AS n, min(example_id) AS first_id FROM ({SPLIT_SQL}) GROUP BY split")
 def write_split(spark, sf):
     root = scratch_path(spark, "split")

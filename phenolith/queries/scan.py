@@ -192,13 +192,32 @@ def latest_occurrence_file(spark, sf):
 @query("""SELECT arg_max(path, name) AS path FROM entries WHERE path LIKE 'occurrences/src1%'""")
 def latest_occurrence_file_by_prefix(spark, sf):
     """A usage name is a prefix: longer names that start with it count too."""
+    return L.latest_occurrence_file(A.listing(spark, sf), "src1", exact=False)
+
+
+@query("""SELECT arg_max(path, name) AS path FROM entries WHERE path LIKE 'occurrences/src1/%'""")
+def latest_occurrence_file_of_usage(spark, sf):
     return L.latest_occurrence_file(A.listing(spark, sf), "src1")
 
 
+@query("""SELECT 'occurrences/src1/' || max(split_part(path, '/', 3)) AS path FROM listing WHERE path LIKE 'occurrences/src1/%'""")
+def latest_version_of_parent(spark, sf):
+    """The function itself, with sibling folders whose names begin alike."""
+    return spark.createDataFrame([(L.latest_version(A.listing(spark, sf), "occurrences/src1"),)], "path string")
+
+
 @query("""SELECT version, file_no, path FROM (
     SELECT *, dense_rank() OVER (ORDER BY file_no) AS r FROM (
       SELECT path, split_part(path, '/', 2) AS version, split_part(split_part(path, '/', 3), '.', 1)::INTEGER AS file_no
       FROM listing WHERE path LIKE 'random/%') WHERE version = (SELECT max(split_part(path, '/', 2)) FROM listing WHERE path LIKE 'random/%'))
   WHERE r = file_no""")
 def latest_random_dir(spark, sf):
+    return L.latest_random_dir(A.listing(spark, sf), until_gap=True)
+
+
+@query("""SELECT version, file_no, path FROM (
+    SELECT path, split_part(path, '/', 2) AS version, split_part(split_part(path, '/', 3), '.', 1)::INTEGER AS file_no FROM listing WHERE path LIKE 'random/%')
+  WHERE version = (SELECT max(split_part(path, '/', 2)) FROM listing WHERE path LIKE 'random/%') AND file_no >= 1""")
+def latest_random_files(spark, sf):
+    """All files of the newest random version, whatever numbers are missing."""
     return L.latest_random_dir(A.listing(spark, sf))

@@ -184,7 +184,7 @@ CTES: dict[str, str] = {
          removed::BIGINT AS slice_index, (120 // d - removed)::BIGINT AS shape
   FROM (SELECT d, p, round((120 // d) * [0.0, 0.2, 0.4][p + 1])::BIGINT AS removed FROM range(1, 7) AS a(d), range(3) AS b(p))""",
     "scores": """
-  SELECT quality::DOUBLE AS label, (doc_id % 97 + 1)::DOUBLE / 99.0::DOUBLE AS score FROM labels""",
+  SELECT (user_id % 3 = 0)::INTEGER::DOUBLE AS label, ((event_id * 7919) % 99991 + 1)::DOUBLE / 100000.0::DOUBLE AS score FROM events""",
 }
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenolith.operators.features import FittedTransform, fit_minmax, fit_vocabularies, fitted
-from phenolith.sources.listings import latest_version, list_files
+from phenolith.sinks.writers import newest_version
+from phenolith.sources.listings import children
 
 # The three parts a saved state must have.
 STATE_PARTS = ["raw_metadata", "transformed_metadata", "transform_fn"]
@@ -29,11 +30,8 @@ def write_transform_state(raw: DataFrame, root: str, version: str | None = None)
 
 def latest_transform_state(spark, root: str) -> str:
     """Path of the newest saved state; an error when one of its parts is missing."""
-    listing = list_files(spark, root)
-    version = latest_version(listing, STATE_ROOT)
-    parts = {r["part"] for r in listing.where(F.col("path").startswith(version + "/"))
-             .select(F.substring_index(F.substring("path", len(version) + 2, 1 << 20), "/", 1).alias("part"))
-             .distinct().collect()}
+    version = newest_version(spark, root, STATE_ROOT)
+    parts = children(spark, f"{root}/{version}")
     for part in STATE_PARTS:
         if part not in parts:
             raise ValueError(f"{version} has no {part}")

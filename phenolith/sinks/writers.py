@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenolith.functions import columns as X
-from phenolith.sources.listings import latest_version, list_files
+from phenolith.sources.listings import children
 
 LAYOUT = ["kind", "part_a", "part_b"]
 
@@ -23,15 +23,26 @@ def with_layout(df: DataFrame, version: str, category: str = "routing_category")
     })
 
 
-def write_by_category(df: DataFrame, root: str, version: str, mode: str = "append") -> None:
-    """One folder per category and version; rows with an unusable category are left out.
+def _routed(df: DataFrame, version: str) -> DataFrame:
+    """``df`` with the category that routes it and whether that names a folder."""
+    routed = df.withColumn("routing_category", X.routing_category())
+    usable = X.valid_category("routing_category") & X.category_path("routing_category", F.lit(version)).isNotNull()
+    return routed.withColumn("routable", F.coalesce(usable, F.lit(False)))
+
+
+def write_by_category(df: DataFrame, root: str, version: str) -> None:
+    """One folder per category and version. Writing a version again replaces its folders, so a retried job doubles nothing.
 
-    Rebalancing on the path gives few files per folder and cuts a folder with very many rows in several.
+    Rows that name no folder aren't written; ``unroutable`` gives them. Rebalancing on the path gives few files
+    per folder and cuts a folder with very many rows in several.
     """
-    routed = df.withColumn("routing_category", X.routing_category())
-    usable = routed.where(X.valid_category("routing_category") & X.category_path("routing_category", F.lit(version)).isNotNull())
-    laid = with_layout(usable, version).drop("routing_category")
-    laid.hint("rebalance", *LAYOUT).write.partitionBy(*LAYOUT).mode(mode).parquet(root)
+    laid = with_layout(_routed(df, version).where("routable"), version).drop("routing_category", "routable")
+    laid.hint("rebalance", *LAYOUT).write.partitionBy(*LAYOUT).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
+
+
+def unroutable(df: DataFrame, version: str) -> DataFrame:
+    """The rows that ``write_by_category`` can't write: an unusable category or a random row without batch number."""
+    return _routed(df, version).where(~F.col("routable")).select(*df.columns)
 
 
 def read_by_category(spark, root: str) -> DataFrame:
@@ -60,5 +71,8 @@ def write_counts(df: DataFrame, path: str) -> None:
 
 
 def newest_version(spark, root: str, parent: str) -> str:
-    """Newest child of a folder under a root."""
-    return latest_version(list_files(spark, root), parent)
+    """Newest child of a folder under a root, from a listing of that folder alone."""
+    versions = children(spark, f"{root}/{parent}")
+    if not versions:
+        raise ValueError(f"no version below {parent}")
+    return f"{parent}/{max(versions)}"

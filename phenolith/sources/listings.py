@@ -17,6 +17,13 @@ def list_files(spark, root: str) -> DataFrame:
     return files.select(F.substring_index("path", bare + "/", -1).alias("path"))
 
 
+def children(spark, folder: str) -> list[str]:
+    """Names directly below a folder, without listing what lies deeper; none if there is no such folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(path)) if files.exists(path) else []
+
+
 def directory(path="path") -> Column:
     p = _col(path)
     return F.regexp_extract(p, "^(.*)/[^/]*$", 1)
@@ -34,9 +41,9 @@ def _entries(listing: DataFrame) -> DataFrame:
 def latest_example_files(listing: DataFrame) -> DataFrame:
     """Newest file of every occurrence and protected-area folder, all files of the newest random folder."""
     files = _entries(listing)
-    versioned = files.where(F.col("path").startswith("occurrences") | F.col("path").startswith("protected_areas"))
+    versioned = files.where(F.col("path").startswith("occurrences/") | F.col("path").startswith("protected_areas/"))
     newest = versioned.groupBy("dir").agg(F.max("name").alias("name"))
-    random = files.where(F.col("path").startswith("random"))
+    random = files.where(F.col("path").startswith("random/"))
     folder = random.agg(F.max("dir").alias("dir")).select("dir")
     return newest.select("dir", "name").unionByName(
         random.join(folder, "dir", "left_semi").select("dir", "name")
@@ -46,7 +53,7 @@ def latest_example_files(listing: DataFrame) -> DataFrame:
 def latest_version(listing: DataFrame, parent: str) -> str:
     """Newest child below a parent path; an error when there is none."""
     parent = parent.strip("/")
-    below = listing.where(F.col("path").startswith(parent) & (F.col("path") != parent))
+    below = listing.where(F.col("path").startswith(parent + "/"))
     child = F.substring_index(F.substring("path", len(parent) + 2, 1 << 20), "/", 1)
     newest = below.agg(F.max(child).alias("child")).first()["child"]
     if newest is None:
@@ -61,10 +68,10 @@ def latest_per_parent(listing: DataFrame) -> DataFrame:
         F.max(F.element_at(parts, 2)).alias("version"))
 
 
-def latest_occurrence_file(listing: DataFrame, usage: str, exact: bool = False) -> DataFrame:
+def latest_occurrence_file(listing: DataFrame, usage: str, exact: bool = True) -> DataFrame:
     """The path with the newest base name below ``occurrences/<usage>``.
 
-    The usage is a prefix, so a longer usage name matches too unless ``exact``.
+    With ``exact=False`` the usage is a prefix, so a longer usage name matches too.
     """
     prefix = f"occurrences/{usage}" + ("/" if exact else "")
     return listing.where(F.col("path").startswith(prefix)).agg(
@@ -80,8 +87,8 @@ def latest_occurrence_files(listing: DataFrame) -> DataFrame:
     ).select("usage_id", "m.path")
 
 
-def latest_random_dir(listing: DataFrame) -> DataFrame:
-    """Numbered files of the newest random version, from 1 up to the first gap.
+def latest_random_dir(listing: DataFrame, until_gap: bool = False) -> DataFrame:
+    """Numbered files of the newest random version; ``until_gap`` leaves out those after the first missing number.
 
     The number equals its rank exactly until the first gap.
     """
@@ -91,5 +98,7 @@ def latest_random_dir(listing: DataFrame) -> DataFrame:
         F.element_at(F.split(F.element_at(parts, 3), "\\."), 1).try_cast("int").alias("file_no"))
     newest = random.agg(F.max("version").alias("version"))
     files = random.join(newest, "version", "left_semi").where(F.col("file_no") >= 1)
+    if not until_gap:
+        return files.select("version", "file_no", "path")
     rank = F.dense_rank().over(Window.partitionBy("version").orderBy("file_no"))  # one version, file names only
     return files.withColumn("_rank", rank).where(F.col("_rank") == F.col("file_no")).select("version", "file_no", "path")

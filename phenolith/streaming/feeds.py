@@ -23,7 +23,7 @@ def observation_stream(documents: DataFrame) -> DataFrame:
 def start_category_sink(rows: DataFrame, root: str, checkpoint: str, version: str):
     """Append each micro-batch to the category layout; a replayed batch replaces its own folder."""
     def write(batch: DataFrame, number: int) -> None:
-        write_by_category(batch, f"{root}/batch={number}", version, mode="overwrite")
+        write_by_category(batch, f"{root}/batch={number}", version)
 
     return (
         rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -113,4 +113,38 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id > page THEN 're
 FROM named JOIN first USING (payload_digest)
 """
 
-TEXTS = {"op1_chat_formatting": CHAT, "op4_secret_scans": SECRETS, "op6_quality_rules": RULES, "op10_warc": WARC}
+def _components(nodes: str, links: str, key: str) -> str:
+    """Common tables that end in ``component`` with the smallest key reachable from each node of ``nodes`` over ``links (a, b)``."""
+    return f"""
+either AS (SELECT a, b FROM {links} UNION SELECT b, a FROM {links}),
+reach AS (SELECT {key} AS id, {key} AS other FROM {nodes} UNION SELECT either.a, reach.other FROM reach JOIN either ON either.b = reach.id),
+component AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)"""
+
+
+SHINGLES = f"""
+WITH RECURSIVE given AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM given WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common c JOIN sizes x ON c.a = x.doc_id JOIN sizes y ON c.b = y.doc_id WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+{_components('documents', 'links', 'doc_id')}
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN component ON d.doc_id = id LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+"""
+
+VECTORS = f"""
+WITH RECURSIVE given AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM given a JOIN given b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+{_components('embeddings', 'links', 'vec_id')},
+counts AS (SELECT a, count(*) AS n FROM either GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN component ON vec_id = id LEFT JOIN counts ON vec_id = a
+"""
+
+TEXTS = {
+    "op1_chat_formatting": CHAT, "op4_secret_scans": SECRETS, "op6_quality_rules": RULES, "op7_embedding_near_dedup": VECTORS, "op9_minhash_near_dedup": SHINGLES, "op10_warc": WARC}

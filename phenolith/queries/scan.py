@@ -8,6 +8,7 @@ from phenolith.operators import observations as O
 from phenolith.plans.enrich import union_examples
 from phenolith.queries import query
 from phenolith.queries.sql import EQUALITY_KEY, MONTH_KEY, ROUTING, SEASON, SEASON_KEY
+from phenolith.schema import TOKEN_LEVELS
 from phenolith.sources import listings as L
 from phenolith.sources import scans as S
 
@@ -87,6 +88,32 @@ def explode_name_usage_sources(spark, sf):
     return O.explode_name_usage_sources(A.name_usages(spark, sf))
 
 
+@query("""SELECT *, usage_id || '-|-' || source_type || '-|-' || target_id AS source_key FROM sources WHERE usage_id IN ('u1', 'u3')""")
+def explode_sources_of_usages(spark, sf):
+    """The same for named usages only."""
+    return O.explode_name_usage_sources(A.name_usages(spark, sf), "u1,u3")
+
+
+@query("""SELECT example_id FROM obs WHERE year(obs_date) - 48 >= 1950""")
+def filter_year(spark, sf):
+    """Observations moved 48 years back: those of too early a year go."""
+    moved = A.observations(spark, sf).withColumn("obs_date", F.add_months("obs_date", -48 * 12))
+    return O.filter_year(moved).select("example_id")
+
+
+@query("""SELECT example_id FROM obs WHERE length(example_id) % 2 = 0""")
+def require_fixed_length(spark, sf):
+    """Rows whose list of tokens was cut don't have the declared length."""
+    short = F.when(F.length("example_id") % 2 == 0, F.col("s2_tokens")).otherwise(F.slice("s2_tokens", 1, 3))
+    rows = A.observations(spark, sf).withColumn("s2_tokens", short)
+    return O.require_fixed_length(rows, {"s2_tokens": TOKEN_LEVELS}).select("example_id")
+
+
+@query("SELECT example_id, latitude, longitude FROM obs")
+def coordinates(spark, sf):
+    return A.observations(spark, sf).select("example_id", X.coordinates().alias("p")).select("example_id", "p.*")
+
+
 VALID = "has_feature_set AND latitude <> 0 AND length(date_string) = 8 AND elevation IS NOT NULL"
 
 

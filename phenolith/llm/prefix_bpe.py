@@ -10,7 +10,7 @@ import base64
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -30,49 +30,74 @@ class Vocabulary:
         self.ranks = ranks
         self.token = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks))
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._pieces: dict[str, array] = {}
+        self._pairs: dict[int, bool] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
+        self._pieces: dict[str, bytes] = {}  # the ids as 32-bit numbers end to end
 
     @classmethod
     def parse(cls, lines: bytes) -> "Vocabulary":
         """From the text of a rank file: base64 of a token, a space, its rank."""
         return cls({base64.b64decode(t): int(r) for t, r in (line.split() for line in lines.splitlines() if line)})
 
-    def merged(self, data: bytes) -> list[int]:
-        """Encoding by the definition, merging the lowest rank first; for single tokens and pairs."""
-        parts, none = [data[i : i + 1] for i in range(len(data))], 1 << 60
-        cost = [self.ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
-        while cost and (lowest := min(cost)) < none:
-            at = cost.index(lowest)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del cost[at]
-            for i in (at - 1, at):  # the pairs that the new part is in
-                if 0 <= i < len(cost):
-                    cost[i] = self.ranks.get(parts[i] + parts[i + 1], none)
-        return [self.ranks[p] for p in parts]
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge gives ``token``, the last one when its bytes are encoded; None for a single byte."""
+        known = self._halves.get(token, 0)
+        if known == 0:
+            data, none = self.token[token], 1 << 60
+            parts = [data[i : i + 1] for i in range(len(data))]
+            while len(parts) > 2:
+                costs = [self.ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+                at = costs.index(min(costs))
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            known = self._halves[token] = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
+        return known
 
     def may_follow(self, left: int, right: int) -> bool:
-        """Whether the merges of both tokens' bytes end in just these two; with ``left`` -1: whether ``right`` is its own encoding."""
-        known = self._pairs.get((left, right))
+        """Whether the merges of both tokens' bytes end in just these two; with ``left`` -1: ``right`` begins the bytes and always may.
+
+        Seen backwards from the end: the part of each token at the seam was made by a merge. Taking the later one apart again and again shows every
+        pair that lay at the seam at some time. If such a pair is a token that comes before the merge that has made one of its
+        sides vanish, the merges would have joined it.
+        """
+        known = self._pairs.get(left << 32 | right)
         if known is None:
             if len(self._pairs) >= MEMO:
                 self._pairs.clear()
-            before = [] if left < 0 else [left]
-            known = self.merged(b"".join(self.token[t] for t in (*before, right))) == [*before, right]
-            self._pairs[left, right] = known
+            known = self._pairs[left << 32 | right] = left < 0 or self._apart(left, right)
         return known
 
+    def _apart(self, left: int, right: int) -> bool:
+        # until_left and until_right: the rank of the merge that ends the life of the part at the seam on that side.
+        until_left = until_right = 1 << 60
+        while True:
+            joined = self.ranks.get(self.token[left] + self.token[right])
+            # On equal ranks the leftmost merge comes first: the left part is gone, the right part still there.
+            if joined is not None and joined < until_left and joined <= until_right:
+                return False
+            a, b = self.halves(left), self.halves(right)
+            if a is None and b is None:
+                return True
+            if b is None or (a is not None and left > right):
+                until_left, left = left, a[1]
+            else:
+                until_right, right = right, b[0]
+
     def piece(self, text: str) -> array:
         """The ids of one piece of split text."""
-        ids = self._pieces.get(text)
-        if ids is None:
-            if len(self._pieces) >= MEMO:
-                self._pieces.clear()
-            data = text.encode()
-            whole = self.ranks.get(data, -1)
-            ids = array("i", [whole] if whole >= 0 and self.may_follow(-1, whole) else PrefixTable(self, data).tokens())
-            self._pieces[text] = ids
-        return ids
+        if text not in self._pieces:
+            self.learn({text})
+        return array("i", self._pieces[text])
+
+    def learn(self, pieces: set[str]) -> None:
+        """Encode pieces that aren't known; in sorted order, so that each keeps the rows of the prefix it shares with the one before."""
+        table = PrefixTable(self)
+        for text in sorted(pieces):
+            data, shared, last = text.encode(), 0, table.data
+            while shared < len(last) and shared < len(data) and last[shared] == data[shared]:
+                shared += 1
+            table.cut(shared)
+            table.append(data[shared:])
+            self._pieces[text] = array("i", table.tokens()).tobytes()
 
 
 class PrefixTable:
@@ -83,20 +108,37 @@ class PrefixTable:
         self.append(data)
 
     def _row(self, stop: int) -> int:
+        """The token that ends the prefix of ``stop`` bytes; exactly one fits."""
         rank, data, last = self.vocabulary.ranks.get, self.data, self.last
         known, may_follow = self.vocabulary._pairs.get, self.vocabulary.may_follow
-        for start in range(max(0, stop - self.vocabulary.longest), stop):
+        for start in range(stop - 1, max(0, stop - self.vocabulary.longest) - 1, -1):
             token = rank(data[start:stop])
             if token is not None:
-                fits = known((last[start], token))
+                fits = known(last[start] << 32 | token)
                 if fits or (fits is None and may_follow(last[start], token)):
                     return token
         raise ValueError("the vocabulary lacks a byte")
 
     def append(self, more: bytes) -> None:
+        # The loop of _row, written out: most of the work on new words is here.
         begin, self.data = len(self.data), self.data + more
-        for stop in range(begin + 1, len(self.data) + 1):
-            self.last.append(self._row(stop))
+        rank, data, last, longest = self.vocabulary.ranks.get, self.data, self.last, self.vocabulary.longest
+        known, may_follow = self.vocabulary._pairs.get, self.vocabulary.may_follow
+        for stop in range(begin + 1, len(data) + 1):
+            for start in range(stop - 1, stop - longest - 1 if stop > longest else -1, -1):
+                token = rank(data[start:stop])
+                if token is not None:
+                    fits = known(last[start] << 32 | token)
+                    if fits or (fits is None and may_follow(last[start], token)):
+                        last.append(token)
+                        break
+            else:
+                raise ValueError("the vocabulary lacks a byte")
+
+    def cut(self, stop: int) -> None:
+        """Keep the first ``stop`` bytes; their rows don't depend on what follows."""
+        del self.last[stop + 1 :]
+        self.data = self.data[:stop]
 
     def edit(self, start: int, stop: int, new: bytes) -> int:
         """Replace ``data[start:stop]``; returns the number of rows that were computed."""
@@ -166,8 +208,8 @@ def _vocabulary(lines: bytes) -> Vocabulary:
 
 
 def _lists(arrays: list, kind: pa.DataType) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
-    flat = np.concatenate([np.frombuffer(a, dtype=np.int32) for a in arrays if len(a)] or [np.zeros(0, dtype=np.int32)])
+    offsets = np.concatenate([[0], np.cumsum([len(a) // 4 for a in arrays])]).astype(np.int32)
+    flat = np.frombuffer(b"".join(arrays), dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
@@ -183,13 +225,14 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, split = _vocabulary(lines), regex.compile(pattern).findall
-        piece, known = vocabulary.piece, vocabulary._pieces
+        known = vocabulary._pieces
         for batch in batches:
             for lo, hi, texts in text_blocks(batch.column("text")):
-                found = []
-                for t in texts:
-                    parts = split(t.decode()) if t else []
-                    found.append(array("i", chain.from_iterable([known.get(p) or piece(p) for p in parts])))
+                parts = [split(t.decode()) if t else [] for t in texts]
+                if len(known) > MEMO:
+                    known.clear()
+                vocabulary.learn(set(filterfalse(known.__contains__, chain.from_iterable(parts))))
+                found = [b"".join(map(known.__getitem__, p)) for p in parts]
                 yield pa.RecordBatch.from_arrays([batch.column("key")[lo:hi], _lists(found, pa.int32())], names=["key", "ids"])
 
     given = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))

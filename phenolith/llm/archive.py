@@ -24,6 +24,7 @@ from phenolith.session import write_once
 
 ROLL_BYTES = 32 << 20  # a file is closed once its compressed size reaches this
 SHARD_BYTES = 64 << 20  # payload bytes that a shard aims at
+FILES_PER_TASK = 2  # read by one task, one after another
 RANGES = 1 << 16  # key ranges that are counted to cut shards; their counts are all the driver sees
 DATE = "2020-01-01T00:00:00Z"  # of every record, so that the bytes don't depend on the clock
 
@@ -71,7 +72,7 @@ def _writer(folder: str, roll: int, level: int):
         files, root = _files(folder)
         files.create_dir(f"{root}/_temporary", recursive=True)
         out = shard = None
-        number = 0
+        number, note = 0, (None, None, None)
 
         def start(of):
             nonlocal out, shard, number
@@ -87,9 +88,13 @@ def _writer(folder: str, roll: int, level: int):
             return pa.RecordBatch.from_arrays([pa.array([v]) for v in row], names=["shard", "file", "temporary", "records", "bytes", "sha256"])
 
         for batch in batches:
-            columns = [batch.column(c) for c in ("shard", "key", "url", "payload", "refers_to")]
+            columns = [batch.column(c) for c in ("shard", "key", "sha", "url", "payload", "refers_to", "page")]
             for i in range(len(batch)):
-                of, key, url, payload, refers = (c[i].as_py() for c in columns)
+                of, key, sha, url, payload, refers, page = (c[i].as_py() for c in columns)
+                if not page:  # stands before the pages it is about
+                    note = key, sha, refers
+                    continue
+                refers = note[2] if note[:2] == (key, sha) else None
                 if out is not None and (of != out["shard"] or out["bytes"] >= roll):
                     yield finish()
                 if out is None:
@@ -151,8 +156,11 @@ def write_archive(df: DataFrame, folder: str, key: str = "page_id", url: str = "
     narrow = rows.where((F.col("n") >= least) & F.col("key").isNotNull()).select("sha", "key")
     groups = narrow.groupBy("sha").agg(F.min("key").alias("refers_to"), F.max("key").alias("last")).where("refers_to < last").drop("last")
     again = narrow.join(groups, "sha").where("key > refers_to").distinct()
-    placed = _shards(rows.select("key", "url", "payload", "n", "sha"), shard_bytes).join(again, ["key", "sha"], "left")
-    sorted_ = placed.repartition("shard").sortWithinPartitions("shard", "key", "sha", "url").select("shard", "key", "url", "payload", "refers_to")
+    # What a page revisits travels as a note that is sorted right before it, so that pages are shuffled once and for the order only.
+    notes = again.select("key", "sha", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), F.lit(0).cast("bigint").alias("n"), "refers_to", F.lit(False).alias("page"))
+    pages = rows.select("key", "sha", "url", "payload", "n", F.lit(None).cast("bigint").alias("refers_to"), F.lit(True).alias("page"))
+    placed = _shards(pages.unionByName(notes), shard_bytes)
+    sorted_ = placed.repartition("shard").sortWithinPartitions("shard", "key", "sha", "page", "url").select("shard", "key", "sha", "url", "payload", "refers_to", "page")
     written = write_once(sorted_.mapInArrow(_writer(folder, roll, level), _MANIFEST), "archive-files")
     manifest = written.mapInArrow(_renamer(folder), _MANIFEST).drop("temporary")
     manifest.write.mode("overwrite").parquet(f"{folder}/manifest")
@@ -210,5 +218,6 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
                 yield pack(rows)
 
     manifest = spark.read.parquet(f"{folder}/manifest").select("file")
-    return manifest.hint("rebalance", "file").mapInArrow(
+    tasks = max(1, -(-manifest.count() // FILES_PER_TASK))
+    return manifest.repartition(tasks).mapInArrow(
         run, "key bigint, url string, record_type string, refers_to bigint, payload binary, payload_bytes bigint, payload_digest string")

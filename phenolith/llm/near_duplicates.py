@@ -1,15 +1,16 @@
 """Near-duplicates by fast similarity sketching, banding and exact verification.
 
 1. Each text becomes its set of word shingles, a key of the whole set and a sketch cut into bands. Equal sets are one class.
-2. Classes that share a band form a bucket. All members of a bucket are compared with one pivot, on their full sets; the
-   links give components.
+2. Classes that share a band form a bucket with one pivot. A member is compared, on full sets, with one of its pivots, and with the
+   others unless the links found so far put both into one component.
 3. Members of a bucket that are still in different components are compared with more pivots, 32 times as many each round and in the end
-   all of them. Pairs within a component are never formed, so a large group of copies costs a comparison or two per member and band.
+   all of them; pairs whose sketches are too far apart are not compared. Pairs within a component are never formed, so a large group of copies costs a comparison or two per member and band.
 
 Sets are only kept for classes in a bucket with another one. Everything between the steps is a table in the shared folder.
 """
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,11 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenolith.llm.components import components
-from phenolith.llm.shingles import shingle_sets, text_blocks
+from phenolith.llm.shingles import mix, shingle_sets, text_blocks
 from phenolith.llm.similarity_sketch import ROWS, band_keys, bands_for, sketches
 from phenolith.session import write_once
 
 PIVOT_GROWTH = 32
+#: Coordinates of the sketch that estimates similarity before sets are compared, of which one bit each is kept, and how many standard
+#: deviations below the threshold an estimate may lie: 4.5 turn away three in a million pairs that are just at it.
+FINE, DEVIATIONS = 1024, 4.5
 
 
 def _set_key(values: np.ndarray) -> bytes | None:
@@ -50,9 +54,14 @@ def _set_maker(width: int):
         for batch in batches:
             for lo, hi, texts in text_blocks(batch.column("text")):
                 values, begins = shingle_sets(texts, width)
+                # Another sketch than that of the bands, for estimates: one bit of each coordinate.
+                bits = mix(sketches(values ^ np.uint64(0x5851F42D4C957F2D), begins, FINE)) & np.uint64(1)
+                fine = np.packbits(bits.astype(np.uint8), axis=1).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([_set_key(values[begins[i] : begins[i + 1]]) for i in range(hi - lo)], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(values.view(np.int64), pa.int64()))], names=["node", "set"])
+                    pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(values.view(np.int64), pa.int64())),
+                    pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * (FINE // 64), pa.int32()), pa.array(fine.ravel(), pa.int64()))],
+                    names=["node", "set", "fine"])
 
     return run
 
@@ -66,6 +75,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         100 * F.col("c") >= percent * (F.col("total") - F.col("c"))).select("a", "b")
 
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends have different roots."""
+    a = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    b = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    joined = pairs.join(a, "a", "left").join(b, "b", "left")
+    return write_once(joined.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "pairs-apart")
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5) -> DataFrame:
     """One row per row of ``df``: ``key``, ``n_shingles``, ``component_id`` (the smallest key reachable by links) and ``kept``.
 
@@ -90,13 +107,25 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     met = members.select("node").distinct()
     of_interest = nodes.join(met, "node", "left_semi").select(F.col("low").alias("id"), "node").distinct()
     texts = given.join(of_interest.select("id").distinct(), "id", "left_semi").select("text")
-    sets = write_once(texts.mapInArrow(_set_maker(width), "node binary, set array<bigint>").where(F.col("node").isNotNull()), "sets")
+    sets = write_once(texts.mapInArrow(_set_maker(width), "node binary, set array<bigint>, fine array<bigint>").where(F.col("node").isNotNull()), "sets")
 
     near = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)  # noqa: E731  sizes too different for a link
     sizes = nodes.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n"))
-    first = members.where("node <> pivot").select(F.col("pivot"), "node", "n").distinct().join(sizes, "pivot").where(near(F.col("n"), F.col("pivot_n")))
-    links = write_once(_verified(first.select(F.col("pivot").alias("a"), F.col("node").alias("b")), sets, percent), "verified")
-    roots, pivots, before = components(links), PIVOT_GROWTH, 0
+    paired = write_once(members.where("node <> pivot").select("pivot", "node", "n").distinct().join(sizes, "pivot").where(
+        near(F.col("n"), F.col("pivot_n"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")), "pivot-pairs")
+    # One pivot per member is enough where it proves a link; the pairs that this leaves apart follow.
+    links = write_once(_verified(paired.groupBy("b").agg(F.min("a").alias("a")), sets, percent), "verified")
+    roots = components(links)
+    rest = _apart(paired, roots)
+    if not rest.isEmpty():
+        links = write_once(links.unionByName(_verified(rest, sets, percent)), "verified")
+        roots = components(links)
+    share = (1 + percent / 100) / 2  # of equal bits: those of equal coordinates and half of the others
+    agreeing = math.floor(FINE * share - DEVIATIONS * math.sqrt(FINE * share * (1 - share)))
+    equal = F.lit(FINE)
+    for i in range(FINE // 64):
+        equal = equal - F.bit_count(F.get("fine", F.lit(i)).bitwiseXOR(F.get("pfine", F.lit(i))))
+    pivots, before = PIVOT_GROWTH, 0
     draw = lambda node, k: F.pmod(F.xxhash64(node), F.col("members")) < k  # noqa: E731  whether a member is a pivot
     while True:
         current = members.join(roots, "node", "left").select("band", "node", "n", "members", F.coalesce("root", "node").alias("root"))
@@ -105,13 +134,21 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
         open_ = write_once(current.join(apart.select("band"), "band", "left_semi"), "unresolved")
         if open_.isEmpty():
             break
-        pivot = open_.where(draw(F.col("node"), pivots)).select(
-            "band", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("root").alias("proot"), draw(F.col("node"), before).alias("old"))
-        met = open_.join(pivot, "band").where(
-            (F.col("root") != F.col("proot")) & ~(F.col("old") | draw(F.col("node"), before)) & near(F.col("n"), F.col("pn")))
-        pairs = met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        links = write_once(links.unionByName(_verified(pairs, sets, percent)), "verified")
-        roots = components(links)
+        # A pair that shares several open buckets is formed in the first of them only.
+        lists = open_.groupBy("node").agg(F.collect_list("band").alias("open"))
+        estimates = sets.select("node", "fine").dropDuplicates(["node"])
+        listed = write_once(open_.join(lists, "node").join(estimates, "node"), "unresolved")
+        pivot = listed.where(draw(F.col("node"), pivots)).select(
+            "band", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("root").alias("proot"), F.col("open").alias("popen"), F.col("fine").alias("pfine"), draw(F.col("node"), before).alias("old"))
+        new = F.when(draw(F.col("node"), pivots), F.col("node") < F.col("p")).otherwise(True)  # two pivots meet once
+        met = listed.join(pivot, "band").where(
+            (F.col("root") != F.col("proot")) & ~(F.col("old") | draw(F.col("node"), before)) & near(F.col("n"), F.col("pn")) & new
+            & (F.array_min(F.array_intersect("open", "popen")) == F.col("band")) & (equal >= agreeing))
+        pairs = met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
+        fresh = write_once(_verified(pairs, sets, percent), "verified")
+        if not fresh.isEmpty():
+            links = links.unionByName(fresh)
+            roots = components(links)
         before, pivots = pivots, pivots * PIVOT_GROWTH
 
     rooted = nodes.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))

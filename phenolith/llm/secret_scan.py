@@ -1,7 +1,7 @@
 """Secret scans: spans by pattern, then the owners of each value over the whole corpus.
 
-A value that many owners hold is an example that was copied around; one that a single owner holds and that looks random is
-live. Only built-in column functions: spans come from the pieces between matches, counts from two grouped
+A value that many owners hold, or that many repositories of few owners hold, is an example that was copied around; one that a single
+owner holds in few repositories and that looks random is live. Only built-in column functions: spans come from the pieces between matches, counts from two grouped
 aggregations whose partial sums leave each task with one row per value and owner.
 """
 
@@ -20,8 +20,8 @@ HEX = r"[0-9a-f]{24,}"
 #: Further candidates: long runs of letters and digits; which of them are spans is decided by their owners.
 CANDIDATE = r"[A-Za-z0-9_-]{24,}"
 
-MAX_OWNERS = 1
-EXAMPLE_OWNERS = 3
+MAX_OWNERS, MAX_REPOSITORIES = 1, 3
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 3, 10
 _SPAN = "array<struct<kind:string,start:int,stop:int,value:string>>"
 
 
@@ -59,12 +59,13 @@ def _random_looking(value: Column) -> Column:
 
 
 def scan_secrets(df: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", repository: str | None = None,
-                 max_owners: int = MAX_OWNERS, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+                 max_owners: int = MAX_OWNERS, example_owners: int = EXAMPLE_OWNERS,
+                 max_repositories: int = MAX_REPOSITORIES, example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
     """One row per row of ``df``: ``key`` and ``spans``, an array of structs in order of start, then kind.
 
     A span has ``kind``, ``start`` and ``stop`` (code points), ``value`` and the corpus counts of its value, ``n_owners`` and ``n_repositories``, with the
-    ``verdict`` that follows: ``live`` (at most ``max_owners`` owners and random-looking), ``example`` (``example_owners`` owners or
-    more) or ``unclear``. Base kinds always stay; a live candidate that lies in no base span is added as kind ``live``.
+    ``verdict`` that follows: ``example`` (``example_owners`` owners or more, or ``example_repositories`` repositories or more, whoever owns them),
+    ``live`` (at most ``max_owners`` owners, at most ``max_repositories`` repositories, and random-looking) or ``unclear``. Base kinds always stay; a live candidate that lies in no base span is added as kind ``live``.
     ``repository`` is ``key`` unless named: a document is the smallest thing that can be copied.
 
     Null texts are empty; null owners count together as one. Rows are told apart by a number of their own, so repeated
@@ -84,8 +85,9 @@ def scan_secrets(df: DataFrame, key: str = "doc_id", text: str = "text", owner:
     owners = single.groupBy("value_hash", "owner").agg(F.count("*").alias("n")).groupBy("value_hash").agg(F.count("*").alias("n_owners"))
     copies = single.groupBy("value_hash", "repository").agg(F.count("*").alias("n")).groupBy("value_hash").agg(F.count("*").alias("n_repositories"))
     judged = single.join(owners.join(copies, "value_hash"), "value_hash")
-    verdict = F.when(F.col("n_owners") >= example_owners, F.lit("example")).when(
-        (F.col("n_owners") <= max_owners) & _random_looking(F.col("value")), F.lit("live")).otherwise(F.lit("unclear"))
+    verdict = F.when((F.col("n_owners") >= example_owners) | (F.col("n_repositories") >= example_repositories), F.lit("example")).when(
+        (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories) & _random_looking(F.col("value")),
+        F.lit("live")).otherwise(F.lit("unclear"))
     order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")
     kept = judged.withColumn("verdict", verdict).where((F.col("kind") != "live") | (F.col("verdict") == "live"))
     spans = kept.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(

@@ -25,6 +25,12 @@ def _with_text(docs: DataFrame, text, columns: list[str]) -> DataFrame:
     return new.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in columns])
 
 
+def _free_name(columns: list[str], name: str) -> str:
+    while name.lower() in (c.lower() for c in columns):
+        name += "_"
+    return name
+
+
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bad lines go, and so do documents that fail the rules or lose too much."""
     judged = quality_rules(docs).where(F.col("rules.kept"))
@@ -39,14 +45,11 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id; of repeated rows of an id, one."""
-    found = write_once(near_duplicates(docs, percent=NEAR_PERCENT), "near-duplicates")
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    stay = docs.join(gone, "doc_id", "left_anti")
-    repeated = write_once(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if not repeated.isEmpty():
-        stay = stay.join(repeated, "doc_id", "left_anti").unionByName(stay.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return stay.select(*docs.columns)
+    """One row of each group of near-duplicate texts stays, the one with the smallest id; rows of one id with different texts all stay."""
+    row = _free_name(docs.columns, "_row")
+    numbered = write_once(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(numbered, percent=NEAR_PERCENT, row=row)
+    return numbered.join(found.where(~F.col("kept")).select(row), row, "left_anti").select(*docs.columns)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ def _set_key(values: np.ndarray) -> bytes | None:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
 
 
-def _sketcher(width: int, bands: int):
+def _sketcher(width: int, bands: int, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, texts in text_blocks(batch.column("text")):
@@ -43,8 +43,8 @@ def _sketcher(width: int, bands: int):
                 yield pa.RecordBatch.from_arrays([
                     batch.column("id")[lo:hi], pa.array([_set_key(values[begins[i] : begins[i + 1]]) for i in range(hi - lo)], pa.binary()),
                     pa.array(sizes, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * bands, pa.int32()), pa.array(keys.ravel(), pa.int64()))],
-                    names=["id", "node", "n", "bands"])
+                    pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * bands, pa.int32()), pa.array(keys.ravel(), pa.int64())),
+                    *(batch.column(c)[lo:hi] for c in carried)], names=["id", "node", "n", "bands", *carried])
 
     return run
 
@@ -83,7 +83,7 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return write_once(joined.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "pairs-apart")
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5) -> DataFrame:
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, width: int = 5, row: str | None = None) -> DataFrame:
     """One row per row of ``df``: ``key``, ``n_shingles``, ``component_id`` (the smallest key reachable by links) and ``kept``.
 
     Two texts are linked if 100 times the intersection of their shingle sets is at least ``percent`` times the union. Bands are as
@@ -92,11 +92,16 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
 
     Rows of one key are rows of one document: all of them are kept if it is the smallest of its component. A row with a null key
     is linked with nothing and kept. An empty table gives an empty one; other columns are left out.
+
+    ``row`` names a column of whole numbers, different in all rows and written down before. It is carried along, and each row is then judged by its own text:
+    of each component, rows of a repeated key or not, the one with the smallest key and then the smallest number is kept and no other.
     """
     bands = bands_for(percent / 100)
-    given = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    carried = [] if row is None else ["row"]
+    given = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"), *[F.col(f"`{row}`").cast("long").alias(c) for c in carried])
     kind = given.schema["id"].dataType.simpleString()
-    sketched = write_once(given.mapInArrow(_sketcher(width, bands), f"id {kind}, node binary, n bigint, bands array<bigint>").withColumn(
+    sketched = write_once(given.mapInArrow(
+        _sketcher(width, bands, carried), f"id {kind}, node binary, n bigint, bands array<bigint>" + "".join(f", {c} bigint" for c in carried)).withColumn(
         "node", F.when(F.col("id").isNotNull(), F.col("node"))), "sketches")
     classes = sketched.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     nodes = write_once(classes, "classes")
@@ -153,8 +158,15 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
 
     rooted = nodes.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    final = rooted.join(lows, "root").select("node", "component_id")
+    final = rooted.join(lows, "root").select("node", "root", "component_id")
     by_row = sketched.join(final, "node", "left")
+    if row is not None:
+        judged = write_once(by_row.select("row", "id", "node", "root", "n", "component_id"), "judged")
+        first = judged.where(F.col("node").isNotNull()).groupBy("root").agg(F.min(F.struct("id", "row")).alias("first"))
+        chosen = judged.join(first.select(F.col("first.row").alias("row"), F.lit(True).alias("first")), "row", "left")
+        return chosen.select(
+            F.col("id").alias(key), F.col("row").alias(row), F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+            (F.col("node").isNull() | F.coalesce("first", F.lit(False))).alias("kept"))
     return by_row.select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
         (F.col("node").isNull() | F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))).alias("kept"))

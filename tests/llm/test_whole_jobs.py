@@ -1,5 +1,6 @@
 """Repeated keys, copies within one source and hot groups."""
 
+import corpus_pipeline
 from phenolith.llm import secret_scan
 
 SECRET_ROWS = "doc_id long, text string, source string"
@@ -13,3 +14,16 @@ def test_many_repositories_of_one_owner_are_copies(spark):
     assert all([(s.kind, s.verdict, s.n_owners, s.n_repositories) for s in out[i]] == [("assign", "example", 1, 12)] for i in range(12))
     assert all([s.verdict for s in out[100 + i]] == ["unclear"] for i in range(5))
     assert [(s.kind, s.verdict) for s in out[200]] == [("live", "live")]
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_rows_of_one_id_are_judged_by_their_own_texts(spark):
+    texts = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(6)]
+    rows = [(7, texts[0]), (7, texts[1]), (7, texts[1].upper()), (7, texts[2]), (3, texts[2]), (9, texts[0] + " end"), (9, texts[3]), (11, texts[3]), (None, texts[0]), (12, ""), (12, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS).repartition(3)
+    kept = corpus_pipeline.near_duplicates_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text.lower()) for r in kept.collect()), key=str)
+    assert got == sorted([(7, texts[0]), (7, texts[1]), (3, texts[2]), (9, texts[3]), (None, texts[0]), (12, ""), (12, "")], key=str)

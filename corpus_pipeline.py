@@ -11,7 +11,7 @@ from phenolith.llm.line_rules import quality_rules
 from phenolith.llm.near_duplicates import near_duplicates
 from phenolith.llm.packing import pack_best_fit
 from phenolith.llm.quality_model import fit_quality, with_scores
-from phenolith.llm.secret_scan import base_spans, redact, scan_secrets
+from phenolith.llm.secret_scan import redact, scan_secrets
 from phenolith.session import write_once
 
 SCORE_CUT = 0.3
@@ -53,14 +53,14 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in their documents; values that many owners share are examples and stay. Without an id, all base spans are masked."""
-    masked = F.filter("spans", lambda s: s["verdict"] != "example")
-    place = F.transform(masked, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
-    found = scan_secrets(docs).select("doc_id", place.alias("_spans")).where((F.size("_spans") > 0) & F.col("doc_id").isNotNull())
-    joined = docs.join(found, "doc_id", "left")
-    bare = F.transform(F.array_sort(base_spans(F.col("text")), lambda a, b: a["start"] - b["start"]), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
-    spans = F.coalesce("_spans", F.when(F.col("doc_id").isNull(), bare))
-    return _with_text(joined, F.when(spans.isNull(), F.col("text")).otherwise(redact(F.col("text"), spans)), docs.columns)
+    """Secrets are masked in their own row; values that many owners or repositories share are examples and stay. Without an id, all spans are masked."""
+    scanned = scan_secrets(docs, carried="_row").select("spans", "_row")
+    masked = F.filter("spans", lambda s: (s["verdict"] != "example") | F.col("_row.doc_id").isNull())
+    spans = F.transform(masked, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
+    text = F.col("_row.text")
+    new = F.when(F.size(spans) > 0, redact(text, spans)).otherwise(text)
+    rows = scanned.select(new.alias("_new"), *[F.col("_row").getField(c).alias(c) for c in docs.columns])
+    return _with_text(rows, F.col("_new"), docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,7 +60,7 @@ def _random_looking(value: Column) -> Column:
 
 def scan_secrets(df: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", repository: str | None = None,
                  max_owners: int = MAX_OWNERS, example_owners: int = EXAMPLE_OWNERS,
-                 max_repositories: int = MAX_REPOSITORIES, example_repositories: int = EXAMPLE_REPOSITORIES) -> DataFrame:
+                 max_repositories: int = MAX_REPOSITORIES, example_repositories: int = EXAMPLE_REPOSITORIES, carried: str | None = None) -> DataFrame:
     """One row per row of ``df``: ``key`` and ``spans``, an array of structs in order of start, then kind.
 
     A span has ``kind``, ``start`` and ``stop`` (code points), ``value`` and the corpus counts of its value, ``n_owners`` and ``n_repositories``, with the
@@ -69,16 +69,19 @@ def scan_secrets(df: DataFrame, key: str = "doc_id", text: str = "text", owner:
     ``repository`` is ``key`` unless named: a document is the smallest thing that can be copied.
 
     Null texts are empty; null owners count together as one. Rows are told apart by a number of their own, so repeated
-    keys keep their rows. An empty table gives an empty one; other columns are left out, whatever their names.
+    keys keep their rows. An empty table gives an empty one; other columns are left out, whatever their names, unless ``carried``
+    names a struct that is to hold all columns of the row.
     """
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     named = df.select(
         F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{owner}`").cast("string"), F.lit("")).alias("owner"),
-        F.coalesce(F.col(f"`{repository or key}`").cast("string"), F.lit("")).alias("repository"), t.alias("t"))
+        F.coalesce(F.col(f"`{repository or key}`").cast("string"), F.lit("")).alias("repository"), t.alias("t"),
+        *([F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("carried")] if carried else []))
+    more_columns = ["carried"] if carried else []
     more = matches(F.col("t"), CANDIDATE, "live", lambda m: m, lambda s: _random_looking(s["value"]))
-    found = named.select("key", "owner", "repository", base_spans(F.col("t")).alias("base"), more.alias("more"))
+    found = named.select("key", "owner", "repository", *more_columns, base_spans(F.col("t")).alias("base"), more.alias("more"))
     outside = F.filter("more", lambda s: ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-    rows = found.select(F.monotonically_increasing_id().alias("row"), "key", "owner", "repository", F.concat("base", outside).alias("found"))
+    rows = found.select(F.monotonically_increasing_id().alias("row"), "key", "owner", "repository", *more_columns, F.concat("base", outside).alias("found"))
     scanned = write_once(rows, "secret-spans")
     single = scanned.where(F.size("found") > 0).select("row", "owner", "repository", F.explode("found").alias("s")).select(
         "row", "owner", "repository", "s.*", F.sha2("s.value", 256).alias("value_hash"))
@@ -93,7 +96,8 @@ def scan_secrets(df: DataFrame, key: str = "doc_id", text: str = "text", owner:
     spans = kept.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
         "start", order.alias("rank"), "stop", "kind", "value", "n_owners", "n_repositories", "verdict"))).alias("spans"))
     empty = F.array().cast(spans.schema["spans"].dataType)
-    return scanned.select("row", "key").join(spans, "row", "left").select(F.col("key").alias(key), F.coalesce("spans", empty).alias("spans"))
+    return scanned.select("row", "key", *more_columns).join(spans, "row", "left").select(
+        F.col("key").alias(key), F.coalesce("spans", empty).alias("spans"), *[F.col(c).alias(carried) for c in more_columns])
 
 
 def span_list(spans: Column) -> Column:

@@ -27,3 +27,14 @@ def test_rows_of_one_id_are_judged_by_their_own_texts(spark):
     assert kept.columns == docs.columns
     got = sorted(((r.doc_id, r.text.lower()) for r in kept.collect()), key=str)
     assert got == sorted([(7, texts[0]), (7, texts[1]), (3, texts[2]), (9, texts[3]), (None, texts[0]), (12, ""), (12, "")], key=str)
+
+
+def test_secrets_are_masked_in_their_own_row(spark):
+    secrets = ["0123456789abcdef0123456789abcdef01", "fedcba9876543210fedcba9876543210fe", "00112233445566778899aabbccddeeff00"]
+    texts = [f"say token={secrets[0]} now", f"much longer words first, then token={secrets[1]} and the end of it", f"hex {secrets[2]}", "clean words only in this one, and many of them", None]
+    docs = spark.createDataFrame([(5, t, "en", "s", 1) for t in texts] + [(None, texts[0], "en", "s", 1)], DOCS).repartition(3)
+    out = corpus_pipeline.secrets_stage(spark, docs, "")
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    bare = "say [secret] now"
+    assert got == sorted([(5, bare), (5, "much longer words first, then [secret] and the end of it"), (5, "hex [secret]"), (5, texts[3]), (5, None), (None, bare)], key=str)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
 
 from phenolith.llm.shingles import hash_spans, mix, text_blocks
+from phenolith.session import write_once
 
 BUCKETS, SIZE, SPARSE, WINDOW = 1 << 15, 32, 4, 2
 POOLED = 3 * SIZE
@@ -191,15 +192,18 @@ def fit_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     """Word vectors of all texts of ``df`` and the network, fitted to at most ``fit_rows`` labelled rows.
 
     Of the rows of ``labels`` whose crc32 of the key as text isn't divisible by 5 those with the smallest hashes of their keys are taken; a
-    fifth of them sets the temperature. Null labels and null keys are not learned from, a repeated key counts as often as it comes, and labels of one class
-    or none give a network with one score for all texts.
+    fifth of them sets the temperature. Null labels and null keys are not learned from, a repeated key counts as often as it comes in ``labels``, and labels
+    of one class or none give a network with one score for all texts. Of the rows of ``df`` with one key a label row takes the one whose text has the smallest hash.
     """
     vectors = word_vectors(df, text)
     known = labels.where(_learnable(key)).select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("y")).where("key is not null and y is not null")
     present = df.select(F.col(f"`{key}`").alias("key")).distinct()
     some = known.join(present, "key").orderBy(F.xxhash64("key"), "key", "y").limit(fit_rows)
     texts = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    chosen = texts.join(F.broadcast(some), "key")  # at most fit_rows rows of a key and a number
+    wanted = write_once(some, "label-rows")  # at most fit_rows rows of a key and a number
+    one = texts.join(F.broadcast(wanted.select("key").distinct()), "key", "left_semi").groupBy("key").agg(
+        F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")).select("key", F.col("first.text").alias("text"))
+    chosen = one.join(F.broadcast(wanted), "key")  # a text for each of the label rows, however often its key comes in df
     rows = document_vectors(chosen, vectors, "key", "text", ["y"]).toPandas()
     if not len(rows):
         return vectors, constant(0.5)

@@ -1,7 +1,7 @@
 """Repeated keys, copies within one source and hot groups."""
 
 import corpus_pipeline
-from phenolith.llm import secret_scan
+from phenolith.llm import quality_model, secret_scan
 
 SECRET_ROWS = "doc_id long, text string, source string"
 
@@ -38,3 +38,22 @@ def test_secrets_are_masked_in_their_own_row(spark):
     got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
     bare = "say [secret] now"
     assert got == sorted([(5, bare), (5, "much longer words first, then [secret] and the end of it"), (5, "hex [secret]"), (5, texts[3]), (5, None), (None, bare)], key=str)
+
+
+def test_a_repeated_document_is_fitted_once_for_each_label(spark, monkeypatch):
+    rows = [(i, f"words number{i} of text{i % 7}") for i in range(60)] + [(i, f"copy {k} of {i}") for i in (1, 2) for k in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(3, 1)], "doc_id long, quality int")
+    fitted, fit = [], quality_model.fit_network
+
+    def watched(x, y, spare):
+        fitted.append((x, y))
+        return fit(x, y, spare)
+
+    monkeypatch.setattr(quality_model, "fit_network", watched)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    learnable = labels.where(quality_model._learnable("doc_id")).count()
+    for partitions in (2, 5):
+        quality_model.fit_quality(docs.repartition(partitions), labels)
+    assert [len(y) for _, y in fitted] == [learnable] * 2 and (fitted[0][0] == fitted[1][0]).all()
+    quality_model.fit_quality(docs, labels, fit_rows=20)
+    assert len(fitted[2][1]) == 20

@@ -1,7 +1,9 @@
 """Repeated keys, copies within one source and hot groups."""
 
+import numpy as np
+
 import corpus_pipeline
-from phenolith.llm import quality_model, secret_scan
+from phenolith.llm import navigable_graph, near_vectors, quality_model, secret_scan
 
 SECRET_ROWS = "doc_id long, text string, source string"
 
@@ -57,3 +59,34 @@ def test_a_repeated_document_is_fitted_once_for_each_label(spark, monkeypatch):
     assert [len(y) for _, y in fitted] == [learnable] * 2 and (fitted[0][0] == fitted[1][0]).all()
     quality_model.fit_quality(docs, labels, fit_rows=20)
     assert len(fitted[2][1]) == 20
+
+
+def _two_islands():
+    """One large group, and pairs of nodes, far from it and each other, that no link of the graph leads to."""
+    rng = np.random.default_rng(3)
+    large = rng.normal(size=16) + rng.normal(size=(300, 16)) * 0.02
+    pairs = np.repeat(rng.normal(size=(20, 16)), 2, axis=0) + rng.normal(size=(40, 16)) * 0.01
+    x = np.concatenate([large, pairs])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    whole = navigable_graph.build(x[:300].astype(np.float32))
+    layers = [np.concatenate([layer, np.full((40, layer.shape[1]), -1, dtype=layer.dtype)]) for layer in whole.layers]
+    return x, navigable_graph.Graph(x.astype(np.float32), layers, whole.entry)
+
+
+def test_nodes_that_the_graph_does_not_reach_are_found():
+    x, cut = _two_islands()
+    truth = x @ x.T >= 0.9
+    np.fill_diagonal(truth, False)
+    found = [f[f != i] for i, f in enumerate(near_vectors.find(cut, x, x, np.arange(len(x)), 0.9))]
+    assert all(sorted(f) == np.flatnonzero(t).tolist() for f, t in zip(found, truth, strict=True))
+
+
+def test_links_found_from_one_side_count_on_both(monkeypatch):
+    x, _ = _two_islands()
+    one, two = (x[::2], x[1::2])
+    finders = [[np.flatnonzero(row >= 0.9) for row in two @ one.T], [np.zeros(0, dtype=int)] * len(one)]
+    monkeypatch.setattr(near_vectors, "find", lambda *_: finders.pop(0))
+    bits = near_vectors.both_ways((None, one), (None, two), 0.9)
+    finders[:] = [[np.zeros(0, dtype=int)] * len(two), [np.flatnonzero(row >= 0.9) for row in one @ two.T]]
+    assert (bits == near_vectors.both_ways((None, one), (None, two), 0.9)).all()
+    assert (np.unpackbits(bits, axis=1, count=len(one)).astype(bool) == (two @ one.T >= 0.9)).all()

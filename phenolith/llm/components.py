@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from phenolith.session import write_once
 
 
-def _compress(parent: DataFrame) -> DataFrame:
-    """Follow the pointers ``node -> root`` (always to something smaller) to their ends, doubling the reach each time."""
+def follow(parent: DataFrame) -> DataFrame:
+    """Follow the pointers ``node -> root``, one of each node and without a cycle, to their ends, doubling the reach each time."""
     while True:
         up = parent.select(F.col("node").alias("root"), F.col("root").alias("higher"))
         longer = write_once(parent.join(up, "root", "left").select("node", F.coalesce("higher", "root").alias("root"), F.col("higher").isNotNull().alias("moved")), "pointers")
@@ -26,7 +26,7 @@ def components(links: DataFrame) -> DataFrame:
     ordered = links.where("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).distinct()
     edges, parent = write_once(ordered, "links"), None
     while True:
-        hooked = _compress(write_once(edges.groupBy("node").agg(F.min("root").alias("root")), "hooks"))
+        hooked = follow(write_once(edges.groupBy("node").agg(F.min("root").alias("root")), "hooks"))
         if parent is None:
             parent = hooked
         else:

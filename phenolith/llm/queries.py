@@ -1,11 +1,12 @@
 """The operators as queries over the whole given tables, with SQL where SQL can say it."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phenolith.llm import sql
 from phenolith.llm.archive import read_archive, write_archive
 from phenolith.llm.chat import format_chats
+from phenolith.llm.hard_negatives import mine_hard_negatives
 from phenolith.llm.line_rules import quality_rules
 from phenolith.llm.near_duplicates import near_duplicates
 from phenolith.llm.near_vectors import near_vectors
@@ -14,6 +15,7 @@ from phenolith.llm.personal_data import find_personal_data
 from phenolith.llm.prefix_bpe import decode, encode
 from phenolith.llm.quality_model import score_quality
 from phenolith.llm.secret_scan import scan_secrets, span_list
+from phenolith.llm.spelling import count_words, spelling_variants
 from phenolith.session import scratch_path
 
 
@@ -95,5 +97,29 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_quality_classifier, op3_byte_bpe, op4_secret_scans, op5_personal_data, op6_quality_rules, op7_embedding_near_dedup, op8_best_fit_packing, op9_minhash_near_dedup, op10_warc)}
+def _shortened(run: Column, key: Column) -> Column:
+    """The run without one of its characters where 31 divides the crc32 of key and run."""
+    h = F.crc32(F.concat(key, F.lit(":"), run))
+    at = (h % F.length(run)).cast("int")
+    return F.when(h % 31 == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))).otherwise(run)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = count_words(table(spark, sf_dir, "documents"), change=_shortened)
+    return spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    large = float(1 << 52)  # from here on every double is a whole number
+
+    def whole(x: Column) -> Column:
+        y = x.cast("double") * 256.0
+        return F.when(F.abs(y) < large, F.floor(y).cast("double")).otherwise(y)  # so are infinite values and NaN, left for the operator to refuse
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), F.transform("embedding", whole).alias("embedding"))
+    return mine_hard_negatives(rows)
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_quality_classifier, op3_byte_bpe, op4_secret_scans, op5_personal_data, op6_quality_rules, op7_embedding_near_dedup, op8_best_fit_packing, op9_minhash_near_dedup, op10_warc, op12_spelling_variants, op13_hard_negatives)}
 SQL = {name: text for name, text in sql.TEXTS.items() if name in QUERIES}

@@ -146,5 +146,59 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 FROM embeddings JOIN component ON vec_id = id LEFT JOIN counts ON vec_id = a
 """
 
+_NIBBLE = "instr('0123456789ABCDEF', substr(h, {}, 1)) - 1"
+_HALF = "left(word, i - 1) || substr(word, i + 1)"
+
+SPELLING = f"""
+WITH RECURSIVE steps(b, k, c) AS (
+  SELECT b, 0, b FROM (SELECT unnest(range(256)) AS b)
+  UNION ALL SELECT b, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS key, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')) AS run FROM documents)),
+counted AS (SELECT key, run, hex(encode(key || ':' || run)) AS h, count(*) AS n FROM runs GROUP BY key, run),
+bytes AS (
+  SELECT run, n, list_transform(range(1, length(h), 2), lambda i: ({_NIBBLE.format('i')}) * 16 + {_NIBBLE.format('i + 1')}) AS b FROM counted),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda a, x: xor(a >> 8, t[xor(a, x) % 256 + 1])), 4294967295::BIGINT) AS h FROM bytes, crc),
+shortened AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM shortened WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (SELECT word, n, i, {_HALF} AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+longer AS (SELECT DISTINCT c.word AS long, c.n AS long_n, w.word AS short, w.n AS short_n FROM cut c JOIN words w ON c.rest = w.word),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT long, short, short_n FROM longer UNION ALL SELECT short, long, long_n FROM longer),
+best AS (
+  SELECT word, count(*) OVER (PARTITION BY word) AS n_near, near, near_n FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+chain(word, root) AS (
+  SELECT word, word FROM formed UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON c.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain c ON f.word = c.word JOIN formed e ON c.root = e.word WHERE e.form IS NULL
+"""
+
+NEGATIVES = """
+WITH given AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT DISTINCT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM given a, given b WHERE a.vec_id % 50 = 0 AND (a.label <> b.label OR a.vec_id <> b.vec_id)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+  s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+WHERE 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) <= 3
+"""
+
 TEXTS = {
-    "op1_chat_formatting": CHAT, "op4_secret_scans": SECRETS, "op6_quality_rules": RULES, "op7_embedding_near_dedup": VECTORS, "op9_minhash_near_dedup": SHINGLES, "op10_warc": WARC}
+    "op1_chat_formatting": CHAT, "op4_secret_scans": SECRETS, "op6_quality_rules": RULES, "op7_embedding_near_dedup": VECTORS, "op9_minhash_near_dedup": SHINGLES, "op10_warc": WARC,
+    "op12_spelling_variants": SPELLING, "op13_hard_negatives": NEGATIVES}

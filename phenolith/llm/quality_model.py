@@ -182,7 +182,7 @@ def document_vectors(df: DataFrame, vectors: np.ndarray, key: str = "doc_id", te
     return given.mapInArrow(run, StructType([*(given.schema[c] for c in names), StructField("features", ArrayType(FloatType()))]))
 
 
-def _learnable(key: str) -> Column:
+def learnable(key: str) -> Column:
     """Rows whose crc32 of the key as text isn't divisible by 5."""
     return F.crc32(F.col(f"`{key}`").cast("string")) % 5 != 0
 
@@ -196,7 +196,7 @@ def fit_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     of one class or none give a network with one score for all texts. Of the rows of ``df`` with one key a label row takes the one whose text has the smallest hash.
     """
     vectors = word_vectors(df, text)
-    known = labels.where(_learnable(key)).select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("y")).where("key is not null and y is not null")
+    known = labels.where(learnable(key)).select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("y")).where("key is not null and y is not null")
     present = df.select(F.col(f"`{key}`").alias("key")).distinct()
     some = known.join(present, "key").orderBy(F.xxhash64("key"), "key", "y").limit(fit_rows)
     texts = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
@@ -236,4 +236,4 @@ def score_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     given = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     scored = with_scores(given, vectors, net).drop("text")
     return scored.select(
-        F.col("key").alias(key), F.coalesce(~_learnable("key"), F.lit(False)).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+        F.col("key").alias(key), F.coalesce(~learnable("key"), F.lit(False)).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))

@@ -16,6 +16,7 @@ from phenolith.llm.prefix_bpe import decode, encode
 from phenolith.llm.quality_model import score_quality
 from phenolith.llm.secret_scan import scan_secrets, span_list
 from phenolith.llm.spelling import count_words, spelling_variants
+from phenolith.llm.toxicity import score_toxicity
 from phenolith.session import scratch_path
 
 
@@ -97,6 +98,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _shortened(run: Column, key: Column) -> Column:
     """The run without one of its characters where 31 divides the crc32 of key and run."""
     h = F.crc32(F.concat(key, F.lit(":"), run))
@@ -121,5 +126,5 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_hard_negatives(rows)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_quality_classifier, op3_byte_bpe, op4_secret_scans, op5_personal_data, op6_quality_rules, op7_embedding_near_dedup, op8_best_fit_packing, op9_minhash_near_dedup, op10_warc, op12_spelling_variants, op13_hard_negatives)}
+QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_quality_classifier, op3_byte_bpe, op4_secret_scans, op5_personal_data, op6_quality_rules, op7_embedding_near_dedup, op8_best_fit_packing, op9_minhash_near_dedup, op10_warc, op11_toxicity, op12_spelling_variants, op13_hard_negatives)}
 SQL = {name: text for name, text in sql.TEXTS.items() if name in QUERIES}

@@ -8,6 +8,8 @@ that differ are escaped and rendered again. Everything is built-in column functi
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from phenolith.llm.running import running_sum
+
 START, END = "<|im_start|>", "<|im_end|>"
 _CONTROL = r"<(\\*)\|(im_start|im_end)\|>"
 _ESCAPED = r"<\\(\\*)\|(im_start|im_end)\|>"
@@ -52,13 +54,18 @@ def parse(rendered: Column) -> Column:
     cut = F.transform(parts, lambda p: F.struct(
         F.when(whole(p), _role_in(header(p))).alias("role"), F.when(whole(p), body(p)).alias("raw"),
         F.length(p).alias("chars"), (F.length(header(p)) + 1).alias("lead")))
-    step = lambda acc, t: F.struct(
-        (acc["at"] + len(START) + t["chars"]).alias("at"),
-        F.array_append(acc["turns"], F.struct(
-            t["role"].alias("role"), unescape(t["raw"]).alias("text"), (acc["at"] + len(START) + t["lead"]).alias("start"),
-            (acc["at"] + len(START) + t["lead"] + F.length(t["raw"])).alias("stop"))).alias("turns"))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<role:string,text:string,start:int,stop:int>>").alias("turns"))
-    return F.aggregate(cut, empty, step, lambda acc: acc["turns"])
+
+    def placed(held: Column) -> Column:
+        ends = running_sum(F.transform(held, lambda t: len(START) + t["chars"]))
+
+        def turns(stops: Column) -> Column:
+            begin = lambda t, i: F.get(stops, i) - t["chars"] + t["lead"]
+            return F.transform(held, lambda t, i: F.struct(
+                t["role"].alias("role"), unescape(t["raw"]).alias("text"), begin(t, i).alias("start"), (begin(t, i) + F.length(t["raw"])).alias("stop")))
+
+        return F.get(F.transform(F.array(ends), turns), F.lit(0))
+
+    return F.get(F.transform(F.array(cut), placed), F.lit(0))
 
 
 def _same(turns: Column, source: Column) -> Column:

@@ -24,6 +24,7 @@ from phenolith.llm.similarity_sketch import ROWS, band_keys, bands_for, sketches
 from phenolith.session import write_once
 
 PIVOT_GROWTH = 32
+_SEEN = 200_000  # keys of texts that a task remembers in order not to make their sets again
 #: Coordinates of the sketch that estimates similarity before sets are compared, of which one bit each is kept, and how many standard
 #: deviations below the threshold an estimate may lie: 4.5 turn away three in a million pairs that are just at it.
 FINE, DEVIATIONS = 1024, 4.5
@@ -50,9 +51,19 @@ def _sketcher(width: int, bands: int, carried: list[str]):
 
 
 def _set_maker(width: int):
+    """Set and fine sketch of each text, of equal texts in a row of batches once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
             for lo, hi, texts in text_blocks(batch.column("text")):
+                if len(seen) > _SEEN:
+                    seen = set()
+                keys = [hashlib.blake2b(t or b"", digest_size=16).digest() for t in texts]
+                texts = [t for t, k in zip(texts, keys, strict=True) if k not in seen and not seen.add(k)]
+                if not texts:
+                    continue
+                lo, hi = 0, len(texts)
                 values, begins = shingle_sets(texts, width)
                 # Another sketch than that of the bands, for estimates: one bit of each coordinate.
                 bits = mix(sketches(values ^ np.uint64(0x5851F42D4C957F2D), begins, FINE)) & np.uint64(1)
@@ -112,7 +123,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     met = members.select("node").distinct()
     of_interest = nodes.join(met, "node", "left_semi").select(F.col("low").alias("id"), "node").distinct()
     texts = given.join(of_interest.select("id").distinct(), "id", "left_semi").select("text")
-    sets = write_once(texts.mapInArrow(_set_maker(width), "node binary, set array<bigint>, fine array<bigint>").where(F.col("node").isNotNull()), "sets")
+    made = texts.mapInArrow(_set_maker(width), "node binary, set array<bigint>, fine array<bigint>").where(F.col("node").isNotNull())
+    # One row per set: rows of one id, or ids of one text, would otherwise meet each other in every comparison.
+    sets = write_once(made.groupBy("node").agg(F.first(F.struct("set", "fine")).alias("s")).select("node", "s.*"), "sets")
 
     near = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)  # noqa: E731  sizes too different for a link
     sizes = nodes.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n"))
@@ -141,8 +154,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
             break
         # A pair that shares several open buckets is formed in the first of them only.
         lists = open_.groupBy("node").agg(F.collect_list("band").alias("open"))
-        estimates = sets.select("node", "fine").dropDuplicates(["node"])
-        listed = write_once(open_.join(lists, "node").join(estimates, "node"), "unresolved")
+        listed = write_once(open_.join(lists, "node").join(sets.select("node", "fine"), "node"), "unresolved")
         pivot = listed.where(draw(F.col("node"), pivots)).select(
             "band", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("root").alias("proot"), F.col("open").alias("popen"), F.col("fine").alias("pfine"), draw(F.col("node"), before).alias("old"))
         new = F.when(draw(F.col("node"), pivots), F.col("node") < F.col("p")).otherwise(True)  # two pivots meet once

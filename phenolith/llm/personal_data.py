@@ -1,12 +1,14 @@
 """Personal data by weak supervision: labelers vote on candidates, their reliabilities come from the votes alone.
 
 One pass over the texts finds candidates and lets a pattern, a gazetteer, a context and a shape labeler vote on each. Votes are
-summed up over the corpus as one row per combination (a few hundred, whatever its size); expectation-maximisation on these counts estimates how
-often each labeler is right, and a logistic classifier is fitted to the resulting probabilities. Candidates that meet their kind's exact
-rule are spans anyway; the classifier decides on the others.
+summed up over the corpus as one row per combination (a few hundred, whatever its size); expectation-maximisation on these counts estimates, for each
+kind by itself, how often each labeler is right. A logistic classifier is then fitted to the resulting probabilities, on features that the labelers don't see:
+what the span is made of, the words beside it and signs of other uses. Candidates that meet their kind's exact rule are spans anyway; the classifier decides on the
+others, together with the votes.
 """
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +38,19 @@ WORDS = {
     "phone": re.compile(r"phone|\btel\b|tel\.|call|mobile|fax|telefon|téléphone|teléfono", re.IGNORECASE)}
 AGAINST = re.compile(r"version|\bv\.?$|isbn|issn|doi|order|invoice|ticket|serial|section|§", re.IGNORECASE)
 CONTEXT_CHARS = 30
+# Providers of mail, prefixes and lengths of card issuers, country calling codes, and address blocks that belong to nobody.
+PROVIDERS = frozenset("gmail googlemail yahoo hotmail outlook live icloud aol gmx web proton protonmail mail yandex orange free wanadoo laposte libero terra".split())
+ISSUERS = {13: ("4",), 14: ("300", "301", "302", "303", "304", "305", "36", "38"), 15: ("34", "37"), 16: ("4", "51", "52", "53", "54", "55", "22", "23", "24", "25", "26", "27", "35", "6011", "65")}
+CALLING = frozenset((
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98 "
+    "212 213 216 218 234 254 351 352 353 354 355 356 357 358 359 370 371 372 380 385 386 420 421 852 886 961 962 965 966 971 972 974").split())
+NOBODYS = ("0.", "10.", "127.", "169.254.", "192.168.", "192.0.2.", "198.51.100.", "203.0.113.", "224.", "239.", "255.")
 
-_SPANS = "array<struct<kind:string,start:int,stop:int,exact:boolean,votes:array<int>>>"
+#: Buckets of neighbour words, features in all, and the candidates with the smallest hashes that the classifier is fitted on.
+WORD_BUCKETS, FIT_CANDIDATES = 32, 50_000
+FEATURES = 12 + 2 * WORD_BUCKETS
+
+_SPANS = "array<struct<kind:string,start:int,stop:int,exact:boolean,votes:array<int>,features:array<float>>>"
 
 
 def luhn(digits: str) -> bool:
@@ -90,32 +103,55 @@ def votes(text: str, kind: str, start: int, stop: int, exact: bool) -> list[int]
     body, digits = text[start:stop], [c for c in text[start:stop] if c.isdigit()]
     around = text[max(0, start - CONTEXT_CHARS) : start], text[stop : stop + CONTEXT_CHARS]
     if kind == "email":
-        known = 1 if re.split(r"[.\s\])}]", body.rstrip("])} "))[-1].lower() in TOP_DOMAINS else 0
+        parts = re.split(r"[^A-Za-z0-9-]+", re.sub(r"(?i)[\[({]\x20?(at|dot)\x20?[\])}]", ".", body).strip("])} ").lower())
+        known = 1 if parts[-1] in TOP_DOMAINS or PROVIDERS.intersection(parts) else -1 if parts[-1] in ("png", "jpg", "js", "py", "html", "local", "test", "invalid") else 0
         shape = 1 if any(c.isalpha() for c in body) else -1
     elif kind == "ip":
-        known = -1 if body.startswith(("0.", "127.", "255.")) else 0
+        known = -1 if body.startswith(NOBODYS) else 1 if exact else 0
         shape = 1 if exact and len(body) >= 9 else 0 if exact else -1
     elif kind == "card":
-        known = 1 if body[0] in "3456" else 0
-        shape = 1 if luhn("".join(digits)) else -1
+        number = "".join(digits)
+        known = 1 if number.startswith(ISSUERS.get(len(number), ISSUERS[16])) else -1
+        shape = 1 if luhn(number) else -1
     else:
-        known = 1 if body.startswith("+") and body[1] != "0" else 0
+        number = "".join(digits)
+        if body.startswith("+"):
+            known = 1 if any(number.startswith(c) for c in (number[:1], number[:2], number[:3]) if c in CALLING) else -1
+        else:  # area codes and exchanges of the North American plan begin with 2 to 9; 555-01xx is kept for fiction
+            known = 1 if number[0] in "23456789" and number[3] in "23456789" and number[1:3] != "11" and number[3:8] != "55501" else -1
         shape = 1 if len(set(digits)) > 2 else -1
     context = 1 if WORDS[kind].search(around[0]) or WORDS[kind].search(around[1]) else -1 if AGAINST.search(around[0]) else 0
     return [1 if exact else -1, known, context, shape]
 
 
+def features(text: str, kind: str, start: int, stop: int) -> list[float]:
+    """What a span is made of and which words stand beside it, as numbers from 0 to 1."""
+    body = text[start:stop]
+    before, after = text[max(0, start - CONTEXT_CHARS) : start], text[stop : stop + CONTEXT_CHARS]
+    n = len(body)
+    share = lambda some: sum(c in some for c in body) / n
+    out = [
+        share("0123456789"), sum(c.isalpha() for c in body) / n, share("-. "), share("()[]{}+@"), min(n / 40, 1.0), len(set(body)) / n,
+        float(bool(WORDS[kind].search(before))), float(bool(WORDS[kind].search(after))), float(bool(AGAINST.search(before))),
+        float(before[-1:].isalnum() or before[-1:] in ("-", "/", "#")), float(after[:1].isalnum() or after[:1] in ("-", "/")), float(before.rstrip()[-1:] == ":")]
+    words = [0.0] * (2 * WORD_BUCKETS)
+    for place, found in enumerate((re.findall(r"\w+", before)[-1:], re.findall(r"\w+", after)[:1])):
+        if found:
+            words[place * WORD_BUCKETS + zlib.crc32(found[0].lower().encode()) % WORD_BUCKETS] = 1.0
+    return out + words
+
+
 def find_candidates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``candidates`` of every whole text, each with its votes."""
+    """``key`` and ``candidates`` of every whole text, each with its votes and features."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("exact", pa.bool_()), ("votes", pa.list_(pa.int32()))]))
+        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("exact", pa.bool_()), ("votes", pa.list_(pa.int32())), ("features", pa.list_(pa.float32()))]))
         for batch in batches:
             for lo, hi, texts in text_blocks(batch.column("text")):
                 rows = []
                 for raw in texts:
                     t = raw.decode() if raw else ""
-                    rows.append([dict(kind=k, start=a, stop=b, exact=ok, votes=votes(t, k, a, b, ok)) for k, a, b, ok in candidates(t)])
+                    rows.append([dict(kind=k, start=a, stop=b, exact=ok, votes=votes(t, k, a, b, ok), features=features(t, k, a, b)) for k, a, b, ok in candidates(t)])
                 yield pa.RecordBatch.from_arrays([batch.column("key")[lo:hi], pa.array(rows, kind)], names=["key", "candidates"])
 
     given = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
@@ -152,6 +188,13 @@ def fit_classifier(x: np.ndarray, p: np.ndarray, counts: np.ndarray, rounds: int
     return w
 
 
+def _inputs(kind: str, votes_: list[int], features_: list[float]) -> np.ndarray:
+    """Votes and a constant of each kind in places of their own, then the features."""
+    own = np.zeros((len(KINDS), len(LABELERS) + 1))
+    own[KINDS.index(kind)] = [1, *votes_]
+    return np.concatenate([own.ravel(), features_])
+
+
 def find_personal_data(df: DataFrame, key: str = "doc_id", text: str = "text", cut: float = 0.9) -> DataFrame:
     """One row per row of ``df``: ``key`` and ``spans``, an array of structs in order of kind, then start.
 
@@ -162,19 +205,29 @@ def find_personal_data(df: DataFrame, key: str = "doc_id", text: str = "text", c
     an empty one; null keys stay; other columns are left out. Within a kind, matches are the leftmost ones and don't overlap.
     """
     found = write_once(find_candidates(df, key, text).withColumnRenamed(key, "key"), "candidates")
-    sums = found.select(F.explode("candidates").alias("c")).groupBy("c.kind", "c.votes").agg(F.count("*").alias("n")).orderBy("kind", "votes").collect()
-    weights, bias = np.zeros(len(LABELERS) + len(KINDS)), -1.0
-    if sums:
-        table, counts = np.array([r["votes"] for r in sums]), np.array([r["n"] for r in sums], dtype=float)
-        kinds = np.array([[r["kind"] == k for k in KINDS] for r in sums], dtype=float)
-        p, _ = reliabilities(table, counts)
-        *weights, bias = fit_classifier(np.hstack([table, kinds]), p, counts)
-    of_kind = F.create_map(*[F.lit(x) for k, w in zip(KINDS, weights[len(LABELERS) :], strict=True) for x in (k, float(w))])
+    single = found.select(F.explode("candidates").alias("c")).select("c.*")
+    sums = single.groupBy("kind", "votes").agg(F.count("*").alias("n")).orderBy("kind", "votes").collect()  # combinations of votes
+    probability: dict[tuple, float] = {}
+    for kind in KINDS:
+        own = [r for r in sums if r["kind"] == kind]
+        if own:
+            p, _ = reliabilities(np.array([r["votes"] for r in own]), np.array([r["n"] for r in own], dtype=float))
+            probability |= {(kind, tuple(r["votes"])): float(q) for r, q in zip(own, p, strict=True)}
+    # Rows with the smallest hashes of all they hold, so that equal candidates, as in copied texts, are one of them.
+    some = single.groupBy("kind", "votes", "features").agg(F.count("*").alias("n")).orderBy(F.xxhash64("kind", "votes", "features"), "kind", "n").limit(FIT_CANDIDATES).toPandas()
+    width = len(KINDS) * (len(LABELERS) + 1) + FEATURES
+    weights = np.zeros(width + 1)
+    if len(some):
+        x = np.array([_inputs(k, list(v), list(f)) for k, v, f in zip(some["kind"], some["votes"], some["features"], strict=True)])
+        p = np.array([probability[k, tuple(int(i) for i in v)] for k, v in zip(some["kind"], some["votes"], strict=True)])
+        weights = fit_classifier(x, p, np.log1p(some["n"].to_numpy(dtype=float)))
+    own = {k: F.array(*[F.lit(float(w)) for w in weights[i * (len(LABELERS) + 1) : (i + 1) * (len(LABELERS) + 1)]]) for i, k in enumerate(KINDS)}
+    of_kind = F.create_map(*[c for k in KINDS for c in (F.lit(k), own[k])])
+    rest = F.array(*[F.lit(float(w)) for w in weights[len(KINDS) * (len(LABELERS) + 1) : width]])
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
 
     def judged(c: Column) -> Column:
-        logit = F.lit(float(bias)) + F.element_at(of_kind, c["kind"])
-        for i in range(len(LABELERS)):
-            logit = logit + F.lit(float(weights[i])) * F.get(c["votes"], i)
+        logit = F.lit(float(weights[-1])) + dot(F.concat(F.array(F.lit(1)), c["votes"]), F.element_at(of_kind, c["kind"])) + dot(c["features"], rest)
         place = F.array_position(F.array(*[F.lit(k) for k in KINDS]), c["kind"]).cast("int") + F.when(c["exact"], 0).otherwise(len(KINDS))
         return F.struct(
             place.alias("place"), c["start"].alias("start"), c["stop"].alias("stop"), F.when(c["exact"], c["kind"]).otherwise(F.concat(F.lit("more_"), c["kind"])).alias("kind"),

@@ -27,12 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = "<|im_end|><|im_start|>assistant ok"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(-1, 0, "user", both), (-1, 1, "assistant", both)], rows.schema)
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(both).alias("text"))
     done = format_chats(rows.unionByName(extra))
     mask = F.filter("turns", lambda t: t["role"] == "assistant")
-    # The text under the mask is cut from the formatted output and unescaped, not taken from the source.
-    from phenolith.llm.chat import unescape
-    under = F.array_join(F.transform(mask, lambda t: unescape(F.substring(F.col("formatted"), t["start"] + 1, t["stop"] - t["start"]))), "")
+    # The text under the mask is what the reader cut from the formatted output and unescaped, not taken from the source.
+    under = F.array_join(F.transform(mask, lambda t: t["text"]), "")
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     read = done.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), under.alias("u"), "formatted")
     return read.select(

@@ -5,9 +5,10 @@ owner holds in few repositories and that looks random is live. Only built-in col
 aggregations whose partial sums leave each task with one row per value and owner.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from phenolith.llm.running import running_max, running_sum
 from phenolith.session import write_once
 
 # The base kinds in their order, each with its pattern and the group that holds the value.
@@ -27,19 +28,16 @@ _SPAN = "array<struct<kind:string,start:int,stop:int,value:string>>"
 
 def matches(text: Column, pattern: str, kind: str, value, keep) -> Column:
     """Leftmost non-overlapping matches as structs of kind, start, stop (code points) and value, without those failing ``keep``."""
-    pieces, found = F.split(text, pattern), F.regexp_extract_all(text, F.lit(pattern), 0)
-    pair = F.transform(found, lambda m, i: F.struct(m.alias("m"), i.alias("i")))
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-    def placed(parts: Column) -> Column:  # parts is bound once, as the variable of a lambda
-        step = lambda acc, x: F.struct(
-            (acc["at"] + F.length(F.get(parts, x["i"])) + F.length(x["m"])).alias("at"),
-            F.array_append(acc["out"], F.struct(
-                F.lit(kind).alias("kind"), (acc["at"] + F.length(F.get(parts, x["i"]))).alias("start"),
-                (acc["at"] + F.length(F.get(parts, x["i"])) + F.length(x["m"])).alias("stop"), value(x["m"]).alias("value"))).alias("out"))
-        return F.aggregate(pair, F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")), step, lambda acc: acc["out"])
+    def spans(held: Column) -> Column:  # the pieces between matches and the matches, bound once
+        lengths = F.transform(held["found"], lambda m, i: F.length(F.get(held["pieces"], i)) + F.length(m))
+        place = lambda stops: F.transform(held["found"], lambda m, i: F.struct(
+            F.lit(kind).alias("kind"), (F.get(stops, i) - F.length(m)).alias("start"), F.get(stops, i).alias("stop"), value(m).alias("value")))
+        return F.get(F.transform(F.array(running_sum(lengths)), place), F.lit(0))
 
-    spans = F.get(F.transform(F.array(pieces), placed), 0)
-    return F.when(text.rlike(pattern), F.filter(spans, keep)).otherwise(F.array().cast(_SPAN))
+    every = F.get(F.transform(F.array(F.struct(F.split(text, pattern).alias("pieces"), found.alias("found"))), spans), F.lit(0))
+    return F.when(text.rlike(pattern), F.filter(every, keep)).otherwise(F.array().cast(_SPAN))
 
 
 def base_spans(text: Column) -> Column:
@@ -79,12 +77,15 @@ def scan_secrets(df: DataFrame, key: str = "doc_id", text: str = "text", owner:
         *([F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("carried")] if carried else []))
     more_columns = ["carried"] if carried else []
     more = matches(F.col("t"), CANDIDATE, "live", lambda m: m, lambda s: _random_looking(s["value"]))
-    found = named.select("key", "owner", "repository", *more_columns, base_spans(F.col("t")).alias("base"), more.alias("more"))
-    outside = F.filter("more", lambda s: ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-    rows = found.select(F.monotonically_increasing_id().alias("row"), "key", "owner", "repository", *more_columns, F.concat("base", outside).alias("found"))
+    rows = named.select(
+        F.monotonically_increasing_id().alias("row"), "key", "owner", "repository", *more_columns, F.concat(base_spans(F.col("t")), more).alias("found"))
     scanned = write_once(rows, "secret-spans")
-    single = scanned.where(F.size("found") > 0).select("row", "owner", "repository", F.explode("found").alias("s")).select(
-        "row", "owner", "repository", "s.*", F.sha2("s.value", 256).alias("value_hash"))
+    spans = scanned.where(F.size("found") > 0).select("row", "owner", "repository", F.explode("found").alias("s")).select("row", "owner", "repository", "s.*")
+    # A candidate meets a base span if one that begins before its end stops after its start: the farthest stop of those decides.
+    live = F.col("kind") == "live"
+    before = Window.partitionBy("row").orderBy(F.when(live, F.col("stop") - 1).otherwise(F.col("start")), live)
+    reach = F.coalesce(F.max(F.when(~live, F.col("stop"))).over(before), F.lit(0))
+    single = spans.withColumn("reach", reach).where(~live | (F.col("reach") <= F.col("start"))).drop("reach").withColumn("value_hash", F.sha2("value", 256))
     owners = single.groupBy("value_hash", "owner").agg(F.count("*").alias("n")).groupBy("value_hash").agg(F.count("*").alias("n_owners"))
     copies = single.groupBy("value_hash", "repository").agg(F.count("*").alias("n")).groupBy("value_hash").agg(F.count("*").alias("n_repositories"))
     judged = single.join(owners.join(copies, "value_hash"), "value_hash")
@@ -106,9 +107,19 @@ def span_list(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column, mask: str = "[secret]") -> Column:
-    """``text`` with every given span's characters replaced; overlapping spans are masked once."""
-    step = lambda acc, s: F.struct(
-        F.greatest(acc["at"], s["stop"]).alias("at"),
-        F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise(acc["out"]).alias("out"))
-    return F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text) - acc["at"])))
+    """``text`` with every given span's characters replaced; overlapping spans are masked once. ``spans`` are in order of their starts."""
+
+    def masked(held: Column) -> Column:
+        chars, own = held["chars"], held["spans"]
+
+        def cut(reach: Column) -> Column:
+            begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(reach, i - 1))  # noqa: E731  how far the spans before reach
+            kept = F.transform(own, lambda s, i: F.when(
+                s["start"] >= begin(i), F.concat(F.array_join(F.slice(chars, begin(i) + 1, s["start"] - begin(i)), ""), F.lit(mask))).otherwise(F.lit("")))
+            last = F.coalesce(F.try_element_at(reach, F.lit(-1)), F.lit(0))
+            return F.concat(F.array_join(kept, ""), F.array_join(F.slice(chars, last + 1, F.size(chars)), ""))
+
+        return F.get(F.transform(F.array(running_max(F.transform(own, lambda s: s["stop"]))), cut), F.lit(0))
+
+    # One array of characters: cutting a long text at a place far into it would read it from the start each time.
+    return F.get(F.transform(F.array(F.struct(F.split(text, "").alias("chars"), spans.alias("spans"))), masked), F.lit(0))

@@ -86,9 +86,12 @@ more AS (
   SELECT c.* FROM ({_spans('live', S.CANDIDATE, 4, 0)}) c WHERE {_RANDOM}
     AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND c.start < b.stop)),
 found AS (SELECT * FROM base UNION ALL SELECT * FROM more),
-owners AS (SELECT value, count(DISTINCT source) AS n_owners FROM found GROUP BY value),
+owners AS (
+  SELECT value, count(DISTINCT source) AS n_owners, count(DISTINCT coalesce(doc_id::VARCHAR, '')) AS n_repositories
+  FROM found GROUP BY value),
 judged AS (
-  SELECT f.*, CASE WHEN n_owners >= {S.EXAMPLE_OWNERS} THEN 'example' WHEN n_owners <= {S.MAX_OWNERS} AND {_RANDOM} THEN 'live' ELSE 'unclear' END AS verdict
+  SELECT f.*, CASE WHEN n_owners >= {S.EXAMPLE_OWNERS} OR n_repositories >= {S.EXAMPLE_REPOSITORIES} THEN 'example'
+    WHEN n_owners <= {S.MAX_OWNERS} AND n_repositories <= {S.MAX_REPOSITORIES} AND {_RANDOM} THEN 'live' ELSE 'unclear' END AS verdict
   FROM found f JOIN owners USING (value)),
 kept AS (SELECT * FROM judged WHERE kind <> 'live' OR verdict = 'live')
 SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,

@@ -3,11 +3,14 @@
 The same rules stand as SQL text in ``phenolith.queries.sql``.
 """
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 from phenolith.schema import TOKEN_LEVELS
 
-CALENDAR_START, CALENDAR_END = "1994-07-01", "2001-08-31"
+CALENDAR_EPOCH = "1994-07-01"  # the day on which the formulas of the readings count from 0
+CALENDAR_LEAD = 184  # days of readings before the first order
 RANDOM_BATCH = 1000
 
 
@@ -15,11 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
+@lru_cache(maxsize=64)
+def _scan_tasks(spark: SparkSession, sf_dir: str, name: str) -> int:
+    return table(spark, sf_dir, name).rdd.getNumPartitions()
+
+
+def _spread(df: DataFrame, key: str, sf_dir: str, name: str) -> DataFrame:
     """Rows of a small given table over all cores: it is one file, hence one scan task, and the columns derived from it
     cost far more than moving its few raw ones. A table that fills the cores with scan tasks is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if _scan_tasks(df.sparkSession, sf_dir, name) >= cores else df.repartition(cores, key)
 
 
 LATITUDE = "case when {k} % 97 = 0 then 0.0D else 25.0D + cast(({k} * 37) % 120 as double) / 10.0D end"
@@ -41,7 +49,7 @@ def parsed_observations(spark, sf_dir: str) -> DataFrame:
     """One row per order: a third are random points, a few per cent are rejects."""
     day = "date_format(o_orderdate, 'yyyyMMdd')"
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    return _spread(orders, "o_orderkey").selectExpr(
+    return _spread(orders, "o_orderkey", sf_dir, "orders").selectExpr(
         "*", f"{LATITUDE.format(k='o_custkey')} as latitude", f"{LONGITUDE.format(k='o_custkey')} as longitude",
     ).selectExpr(
         "latitude", "longitude",
@@ -89,14 +97,16 @@ def stations(spark, sf_dir: str) -> DataFrame:
 
 
 def readings(spark, sf_dir: str) -> DataFrame:
-    """Daily readings of every station, missing on days of a large returned shipment of its supplier."""
-    suppliers = _spread(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")  # one row becomes 2,600 days
-    days = suppliers.selectExpr(
-        "s_suppkey as s", f"explode(sequence(date '{CALENDAR_START}', date '{CALENDAR_END}')) as day")
+    """Daily readings of every station from half a year before the first order to the last, missing on days of a large returned shipment of its supplier."""
+    suppliers = _spread(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey", sf_dir, "supplier")  # one row becomes a few thousand days
+    calendar = table(spark, sf_dir, "orders").selectExpr(
+        f"date_sub(cast(min(o_orderdate) as date), {CALENDAR_LEAD}) as first", "cast(max(o_orderdate) as date) as last").first()
+    days = suppliers.selectExpr("s_suppkey as s", f"explode(sequence(date '{calendar['first']}', date '{calendar['last']}')) as day") if calendar["first"] else (
+        suppliers.selectExpr("s_suppkey as s", "current_date() as day").limit(0))
     outages = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' and l_quantity >= 50").selectExpr(
         "l_suppkey as s", "cast(l_shipdate as date) as day")
     return days.join(outages, ["s", "day"], "left_anti").selectExpr(
-        "s", "day", f"datediff(day, date '{CALENDAR_START}') as n",
+        "s", "day", f"datediff(day, date '{CALENDAR_EPOCH}') + 7000 as n",  # far enough from 0 to stay positive
         "cast((s * 7 + n * 3) % 35 + 60 as double) as high", "cast((s * 5 + n) % 35 + 20 as double) as low",
     ).selectExpr(
         "cast(s as string) as stn", "cast(s % 10 as string) as wban",

@@ -9,9 +9,6 @@ from phenolith.operators.numbering import number_rows
 from phenolith.schema import SCALED_COLUMNS, TOKEN_COLUMNS, TOKEN_LEVELS, VOCABULARY_COLUMNS, WEATHER_DAYS
 from phenolith.session import write_once
 
-# A vocabulary column may be broadcast up to this many entries (a few MB of short tokens).
-BROADCAST_ENTRIES = 100_000
-
 
 # --- fitting -------------------------------------------------------------------------------------
 
@@ -78,51 +75,38 @@ def fitted(vocabulary: DataFrame, scaler: DataFrame) -> FittedTransform:
 # --- applying ------------------------------------------------------------------------------------
 
 
-def lookup_vocabulary(df: DataFrame, state: FittedTransform, columns: list[str], oov: str = "zero",
-                      broadcast_entries: int = BROADCAST_ENTRIES) -> DataFrame:
+def lookup_vocabulary(df: DataFrame, state: FittedTransform, columns: list[str], oov: str = "zero") -> DataFrame:
     """Replace tokens by ids.
 
     An unknown token gets 0, the id of the most frequent one, or with ``oov='separate'`` an id of its own after
-    the last. A column whose vocabulary is small (its size is known) is one broadcast join. All columns
-    with large vocabularies share one join: their distinct combinations are looked up in long form first.
+    the last. The distinct combinations of tokens, places as a rule, meet the vocabulary once in long form, and the rows meet what was
+    found once, however many columns there are; Catalyst and AQE choose the joins by what they see. Rows of a stream can't be folded to distinct
+    ones without state, so each column is a join of its own with the saved table there.
     """
     if oov not in ("zero", "separate"):
         raise ValueError(f"unknown oov rule {oov}")
     missing = {c: 0 if oov == "zero" else state.sizes.get(c, 0) for c in columns}
-    small = [c for c in columns if state.sizes.get(c, 0) <= broadcast_entries]
-    large = [c for c in columns if c not in small]
-    if small:
-        df = _lookup_small(df, state.vocabulary, small, missing)
-    if large:
-        df = _lookup_large(df, state.vocabulary, large, missing)
-    return df
+    return (_lookup_by_column if df.isStreaming else _lookup_places)(df, state.vocabulary, columns, missing)
 
 
-def _lookup_small(df: DataFrame, vocabulary: DataFrame, columns: list[str], missing: dict) -> DataFrame:
-    """A chain of broadcast joins in one stage; the rows are not shuffled."""
+def _lookup_by_column(df: DataFrame, vocabulary: DataFrame, columns: list[str], missing: dict) -> DataFrame:
     ids = [f"coalesce(v_{c}.id, {missing[c]}L) as {c}" for c in columns]
-    others = [f"o.{c}" for c in df.columns if c not in columns]
+    others = [f"o.`{c}`" for c in df.columns if c not in columns]
     joins = [
         f"left join (select token, id from {{vocabulary}} where feature = '{c}') v_{c} on o.{c} = v_{c}.token" for c in columns]
-    hint = ", ".join(f"v_{c}" for c in columns)
-    text = f"select /*+ broadcast({hint}) */ {', '.join(others + ids)} from {{rows}} o {' '.join(joins)}"
-    return df.sparkSession.sql(text, rows=df, vocabulary=vocabulary).select(*df.columns)
+    text = f"select {', '.join(others + ids)} from {{rows}} o {' '.join(joins)}"
+    return df.sparkSession.sql(text, rows=df, vocabulary=vocabulary).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def _lookup_large(df: DataFrame, vocabulary: DataFrame, columns: list[str], missing: dict) -> DataFrame:
-    """Distinct combinations in long form meet the vocabulary once; the rows are shuffled once."""
-    combos = df.select(*columns).distinct()
+def _lookup_places(df: DataFrame, vocabulary: DataFrame, columns: list[str], missing: dict) -> DataFrame:
     pairs = ", ".join(f"named_struct('feature', '{c}', 'token', {c})" for c in columns)
-    keys = ", ".join(columns)
+    keyed = df.withColumn("_key", F.struct(*columns))
     found = (
-        combos.selectExpr(f"struct({keys}) as _key", f"inline(array({pairs}))")
+        keyed.select("_key").distinct().select("_key", "_key.*").selectExpr("_key", f"inline(array({pairs}))")
         .join(vocabulary.select("feature", "token", "id"), ["feature", "token"])
         .groupBy("_key").agg(F.expr("map_from_entries(collect_list(struct(feature, id)))").alias("_ids")))
-    on = " and ".join(f"o.{c} <=> f._key.{c}" for c in columns)
-    ids = [f"coalesce(try_element_at(f._ids, '{c}'), {missing[c]}L) as {c}" for c in columns]
-    others = [f"o.{c}" for c in df.columns if c not in columns]
-    text = f"select {', '.join(others + ids)} from {{rows}} o left join {{found}} f on {on}"
-    return df.sparkSession.sql(text, rows=df, found=found).select(*df.columns)
+    ids = {c: F.coalesce(F.try_element_at("_ids", F.lit(c)), F.lit(missing[c]).cast("long")) for c in columns}
+    return keyed.join(found, "_key", "left").select(*[ids[c].alias(c) if c in ids else F.col(f"`{c}`") for c in df.columns])
 
 
 def scaled(c: str, scaler: dict, is_array: bool) -> Column:
@@ -204,8 +188,9 @@ def weather_features(transformed: DataFrame) -> DataFrame:
 
 
 def crossed_bucket(biome: str = "eco_biome", num: str = "eco_num", buckets: int = 1) -> Column:
-    """Hash bucket of the pair of eco ids."""
-    return F.pmod(F.xxhash64(biome, num), F.lit(max(buckets, 1)).cast("long"))
+    """Hash bucket of the pair of eco ids: 60 bits of the md5 of both, modulo the number of buckets."""
+    digest = F.md5(F.concat_ws("_X_", F.col(biome).cast("string"), F.col(num).cast("string")))
+    return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), F.lit(max(buckets, 1)).cast("long"))
 
 
 def crossed_bucket_count(biome_buckets: int, num_buckets: int) -> int:
@@ -221,15 +206,9 @@ def embedding_size(buckets) -> Column:
     return F.ceil(F.pow(buckets, F.lit(0.25)))
 
 
-# The columns a model sees.
-MODEL_COLUMNS = [
-    "max_temp", "min_temp", "precipitation", "daylight",
-    "elevation", "eco_num", "eco_biome", "s2_tokens", "s2_token_3", "s2_token_4",
-]
-
-
 def select_features(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in MODEL_COLUMNS if c in df.columns])
+    """Only what the model reads of transformed rows: the scaled columns, and the ids of its token levels and eco codes."""
+    return df.select(*[c for c in (*SCALED_COLUMNS, "eco_num", "eco_biome", "s2_token_3", "s2_token_4") if c in df.columns])
 
 
 def drop_label_columns(df: DataFrame, label: str = "category") -> DataFrame:

@@ -15,7 +15,7 @@ def number_rows(df: DataFrame, order: list[Column | str], name: str = "number",
     Range partitioning spreads the rows; a random last sort key lets it cut through copies of one
     key, so no value can fill a task by itself. The sorted rows are written once, after which partition and
     position are fixed, and a number is the position plus the count of rows in earlier partitions. The
-    offsets have one row per partition and, with ``group``, one per group.
+    offsets have one row per partition and, with ``group``, one per partition and group in it. Null is a group like others.
     """
     keys = ([F.col(group)] if group else []) + [_col(o) for o in order]
     columns = df.columns
@@ -32,8 +32,12 @@ def number_rows(df: DataFrame, order: list[Column | str], name: str = "number",
     numbered = placed.join(F.broadcast(offsets), "_part").withColumn("_global", F.col("_row") + F.col("_offset"))
     if group is None:
         return numbered.select(*columns, F.col("_global").alias(name))
-    starts = numbered.groupBy(group).agg(F.min("_global").alias("_start"))
-    return numbered.join(starts, group).select(*columns, (F.col("_global") - F.col("_start")).alias(name))
+    # A group lies in some partitions in a row; rows look their group's start up by partition and group, so that a hot group stays cut.
+    held = numbered.withColumn("_group", F.struct(F.col(group).alias("g")))  # in a struct null groups are equal
+    pieces = held.groupBy("_part", "_group").agg(F.min("_global").alias("_first"))
+    starts = pieces.groupBy("_group").agg(F.min("_first").alias("_start"))
+    placed = pieces.join(starts, "_group").select("_part", "_group", "_start")
+    return held.join(placed, ["_part", "_group"]).select(*columns, (F.col("_global") - F.col("_start")).alias(name))
 
 
 def keyset_ranges(df: DataFrame, key: str, rows: int) -> DataFrame:

@@ -96,6 +96,12 @@ def require_fixed_length(df: DataFrame, lengths: dict[str, int]) -> DataFrame:
     return df
 
 
+def with_length_reasons(df: DataFrame, lengths: dict[str, int]) -> DataFrame:
+    """Add the array of reasons ``length_<column>`` of arrays that are null or don't have the declared length; empty for a good row."""
+    flags = [F.when(~F.coalesce(F.size(name) == n, F.lit(False)), F.lit(f"length_{name}")) for name, n in lengths.items()]
+    return df.withColumn("reasons", F.array_compact(F.array(*flags)))
+
+
 def explode_name_usage_sources(usages: DataFrame, usage_ids: str | None = None) -> DataFrame:
     """One row per usage, source type and target with a positive occurrence count."""
     if usage_ids is not None:
@@ -111,15 +117,14 @@ def explode_name_usage_sources(usages: DataFrame, usage_ids: str | None = None)
 def explode_area_dates(areas: DataFrame, dates: str | None = None, date_table: DataFrame | None = None) -> DataFrame:
     """Every area on every requested date; a list of dates is a parameter, a few entries long.
 
-    ``areas`` are parsed rows without a date. The category carries the date, the id is token level 15.
+    ``areas`` are parsed rows without a date. The category carries the date, the id is token level 15. A table of dates, some
+    hundreds long, becomes one array of the plan by a scalar subquery. Without dates there are no rows.
     """
     if dates is None:
-        dates = ",".join(r[0] for r in date_table.select("date_string").collect())
-    if not dates.strip():
-        return areas.limit(0).withColumns({
-            "category": F.lit(""), "date_string": F.lit(""), "obs_date": F.lit(None).cast("date"),
-            "example_id": F.lit("")})
-    exploded = areas.withColumn("date_string", F.explode(X.split_list(F.lit(dates))))
+        text = "select *, explode((select collect_list(date_string) from {dates})) as date_string from {areas}"
+        exploded = areas.sparkSession.sql(text, areas=areas, dates=date_table)
+    else:
+        exploded = areas.withColumn("date_string", F.explode(X.split_list(F.lit(dates)))).where("date_string <> ''")
     return exploded.withColumns({
         "category": F.concat(F.lit("protected_area-"), F.col("date_string")),
         "example_id": X.s2_token(15),

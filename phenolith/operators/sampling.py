@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from phenolith.functions import columns as X
 from phenolith.operators.numbering import number_rows
+from phenolith.session import cut_lineage
 
 _DIGITS = 3           # hash digits per refinement: 4,096 counts come to the driver
 _FETCH_ROWS = 10_000  # a bucket of at most so many rows is fetched by key
@@ -185,13 +186,42 @@ def train_eval_split(rows: DataFrame, multiplier: int = 5, pct: float = 0.05, se
     return split_by_hash(rows, sizes, seed, key, by=kind)
 
 
+def file_quotas(files: DataFrame, rows: int) -> DataFrame:
+    """``file_no, n, quota``: ``rows`` dealt over the files in proportion to their rows ``n``, exactly as many in all as there are.
+
+    Each file gets the whole part of its share, and the files with the largest remainders, the smaller number first of equal ones, one more.
+    """
+    total = files.agg(F.sum("n").alias("n")).first()["n"] or 0
+    rows = max(0, min(rows, total))
+    whole = F.expr(f"{rows}L * n div {max(total, 1)}L")
+    shared = files.select("file_no", "n", whole.alias("_whole"), (F.lit(rows).cast("long") * F.col("n") - whole * F.lit(total).cast("long")).alias("_rest"))
+    spare = rows - (shared.agg(F.sum("_whole").alias("n")).first()["n"] or 0)
+    ranked = number_rows(shared, [F.desc("_rest"), "file_no"], "_rank")
+    return ranked.select("file_no", "n", (F.col("_whole") + (F.col("_rank") < spare).cast("long")).alias("quota"))
+
+
+def split_by_file(rows: DataFrame, eval_rows: int, train_rows: int, seed, file: str = "file_no", key: str = "example_id", out: str = "split") -> DataFrame:
+    """Spread the evaluation rows over the files, with an exact quota for each, and take training rows from what is left.
+
+    Both parts are drawn in hash order, so nothing depends on partitions. Rows are numbered by ranges of file and hash: a file with very many rows is cut.
+    """
+    counts = rows.groupBy(F.col(file).alias("file_no")).agg(F.count("*").alias("n"))
+    quotas = file_quotas(counts, eval_rows).select(F.col("file_no").alias(file), "quota")
+    hashed = rows.withColumn("_digest", X.seeded_md5(seed, key))
+    numbered = number_rows(hashed, ["_digest", key], "_n", group=file).join(quotas, file)
+    placed = cut_lineage(numbered.withColumn("_eval", F.col("_n") < F.col("quota")).select(*rows.columns, "_eval"))
+    train = sample_positions(placed.where(~F.col("_eval")).drop("_eval"), train_rows, seed, key).withColumn(out, F.lit("train"))
+    return placed.where("_eval").drop("_eval").withColumn(out, F.lit("eval")).unionByName(train)
+
+
 def sample_random_files(files: DataFrame, wanted_rows: int, seed, include_last: bool = True) -> DataFrame:
     """Enough numbered files for the wanted rows plus one, in hash order.
 
-    ``files`` has one row per file: ``file_no, n``. Without ``include_last`` the highest number is never drawn.
+    ``files`` has one row per file: ``file_no, n``. Without ``include_last`` the highest number is never drawn. Files count as holding
+    one row at least on average; no files give none.
     """
     totals = files.agg(F.count("*").alias("files"), F.sum("n").alias("n"), F.max("file_no").alias("last")).first()
-    per_file = totals["n"] // totals["files"]
+    per_file = max((totals["n"] or 0) // max(totals["files"], 1), 1)
     count = wanted_rows // per_file + 1
     pool = files if include_last else files.where(F.col("file_no") < totals["last"])
     return pool.orderBy(X.seeded_md5(seed, F.col("file_no").cast("string")), "file_no").limit(count)

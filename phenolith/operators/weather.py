@@ -15,8 +15,10 @@ MISSING_TEMPERATURE = 9999.9
 MISSING_PRECIPITATION = 99.99
 
 CELL_DEGREES = 1.0
-# Searched before the full radius: kilometres and cell size in degrees.
-INNER_RINGS = ((25.0, 0.25),)
+# Searched before the full radius, each request at the level that fits the density of stations around it: kilometres and cell size in degrees, each level half of
+# the one before it, and the stations in reach that make a level dense enough.
+LEVELS = tuple((25.0 / 2**k, 0.25 / 2**k) for k in range(9))
+ENOUGH_STATIONS = 4
 
 
 def keyed_stations(stations: DataFrame) -> DataFrame:
@@ -49,6 +51,20 @@ def year_month_plan(df: DataFrame, days_before: int = WEATHER_DAYS + WEATHER_LAG
         F.year("m").alias("year"), F.month("m").alias("month"))
 
 
+def window_months(df: DataFrame, days_before: int = WEATHER_DAYS + WEATHER_LAG_DAYS) -> DataFrame:
+    """Distinct years and months that some window touches: of each distinct date, not of the span from the first to the last."""
+    dates = df.select("obs_date").where(F.col("obs_date").isNotNull()).distinct()
+    months = F.sequence(F.trunc(F.date_sub("obs_date", days_before), "month"), F.trunc("obs_date", "month"), F.expr("interval 1 month"))
+    return dates.select(F.explode(months).alias("m")).distinct().select(F.year("m").alias("year"), F.month("m").alias("month"))
+
+
+def reachable_stations(stations: DataFrame, observations: DataFrame, radius_km: float = STATION_RADIUS_KM, cell: float = CELL_DEGREES) -> DataFrame:
+    """Stations with an observation in a cell that their circle touches; the rest can't be the nearest of any. Only distinct cells of the observations are shuffled."""
+    held = observations.select(geo.cell_y("latitude", cell).alias("cell_y"), geo.cell_x("longitude", cell).alias("cell_x")).distinct()
+    placed = stations.where("lat is not null and lon is not null").select("*", F.inline(geo.reachable_cells("lat", "lon", radius_km, cell)))
+    return placed.join(held, ["cell_y", "cell_x"], "left_semi").select(*stations.columns).distinct()
+
+
 def station_days(joined: DataFrame, null_sentinels: bool = False, daylight: bool = True) -> DataFrame:
     """One row per station position and day.
 
@@ -135,34 +151,73 @@ def group_boxes(observations: DataFrame, radius_km: float = STATION_RADIUS_KM) -
 def _search_ring(requests: DataFrame, runs: DataFrame, keys: list[str], edges: list[str], ring_km: float, cell: float) -> DataFrame:
     """The nearest complete station within a ring for each request, as struct ``best``."""
     reach = geo.reachable_cells("station_lat", "station_lon", ring_km, cell)
-    near = runs.select("station_key", "station_lat", "station_lon", "first_end", "last_end", "end_month", F.inline(reach))
+    near = runs.select("station_key", "station_lat", "station_lon", "first_end", "last_end", F.inline(reach)).withColumn(
+        "end_month", F.explode(F.sequence(_month("first_end"), _month("last_end"))))
     placed = requests.withColumns({"cell_y": geo.cell_y("latitude", cell), "cell_x": geo.cell_x("longitude", cell)})
     cell_keys = ["cell_y", "cell_x", "end_month"]
-    pairs = placed.join(near, cell_keys).where("end_day between first_end and last_end")
+    return _nearest(placed.join(near, cell_keys), keys, edges, F.lit(ring_km))
+
+
+def _nearest(pairs: DataFrame, keys: list[str], edges: list[str], ring) -> DataFrame:
+    pairs = pairs.where("end_day between first_end and last_end")
     if edges:
         pairs = pairs.where("station_lat between box_south and box_north and station_lon between box_west and box_east")
     km = F.round(geo.haversine_km("latitude", "longitude", "station_lat", "station_lon"), 6)
-    pairs = pairs.withColumn("km", km).where(F.col("km") <= ring_km)
+    pairs = pairs.withColumn("km", km).where(F.col("km") <= ring)
     # Grouped by the request alone, so that a cell with very many pairs can be split by the join.
     return pairs.groupBy(*keys).agg(F.min(F.struct("km", "station_key")).alias("best")).select(*keys, "best.*")
 
 
+def _level_cells(lat: str, lon: str, station: bool):
+    """Level and cell, for each level: the one that a request lies in, or all that a station's circle of that level touches."""
+    parts = []
+    for k, (km, size) in enumerate(LEVELS):
+        if station:
+            parts.append(F.transform(geo.reachable_cells(lat, lon, km, size), lambda c, k=k: F.struct(F.lit(k).alias("level"), c["cell_y"].alias("cell_y"), c["cell_x"].alias("cell_x"))))
+        else:
+            parts.append(F.array(F.struct(F.lit(k).alias("level"), geo.cell_y(lat, size).cast("int").alias("cell_y"), geo.cell_x(lon, size).cast("int").alias("cell_x"))))
+    return F.inline(F.concat(*parts))
+
+
+def _fitting_levels(requests: DataFrame, runs: DataFrame) -> DataFrame:
+    """For each position the finest level at which enough stations with a complete window are in reach of its cell, else the coarsest; with its cell there."""
+    placed = runs.select("station_key", "station_lat", "station_lon").distinct()
+    counts = placed.select(_level_cells("station_lat", "station_lon", True)).groupBy("level", "cell_y", "cell_x").agg(F.count("*").alias("n"))
+    positions = requests.select("latitude", "longitude").distinct().select("latitude", "longitude", _level_cells("latitude", "longitude", False))
+    dense = F.coalesce(F.col("n") >= ENOUGH_STATIONS, F.lit(False)) | (F.col("level") == 0)
+    best = F.max(F.when(dense, F.struct("level", "cell_y", "cell_x"))).alias("best")
+    return positions.join(counts, ["level", "cell_y", "cell_x"], "left").groupBy("latitude", "longitude").agg(best).select("latitude", "longitude", "best.*")
+
+
+def _search_levels(requests: DataFrame, runs: DataFrame, keys: list[str], edges: list[str], radius_km: float) -> DataFrame:
+    """The nearest complete station for requests that have one within the radius of their own level: a few stations each, however dense the place."""
+    cell_keys = ["level", "cell_y", "cell_x"]
+    levels = write_once(_fitting_levels(requests, runs), "levels")
+    near = runs.select("station_key", "station_lat", "station_lon", "first_end", "last_end", _level_cells("station_lat", "station_lon", True))
+    near = near.join(levels.select(*cell_keys).distinct(), cell_keys, "left_semi")
+    near = near.withColumn("end_month", F.explode(F.sequence(_month("first_end"), _month("last_end"))))
+    placed = requests.join(levels, ["latitude", "longitude"])
+    ring = F.least(F.lit(LEVELS[0][0]) / F.pow(F.lit(2.0), F.col("level")), F.lit(float(radius_km)))
+    return _nearest(placed.join(near, [*cell_keys, "end_month"]), keys, edges, ring)
+
+
 def _month(day: str):
     return F.year(day) * 12 + F.month(day)
 
 
 def nearest_complete_station(observations: DataFrame, days: DataFrame, radius_km: float = STATION_RADIUS_KM,
                              length: int = WEATHER_DAYS, cell: float = CELL_DEGREES, prefilter: str | None = None,
-                             inner_rings: tuple = INNER_RINGS) -> DataFrame:
+                             inner_rings: tuple | None = None) -> DataFrame:
     """For each distinct position and window end the nearest station whose window has no gap.
 
-    The gap-free runs go into the join, keyed by cell and year of the window end: only stations that are
+    The gap-free runs go into the join, keyed by cell and month of the window end: only stations that are
     complete around that time are ever paired. The minimum is taken in the partition that made the
     pairs. Distances count to the millimetre, ties go to the smaller station key.
 
-    ``inner_rings`` are pairs of a radius and a cell size that are tried first: a station found in a ring is
-    nearer than any outside it, so only requests without one go on to the next. In a place with very many
-    stations and observations this keeps most of their pairs from being formed; the result does not depend on it.
+    A smaller circle is tried first: a station found in it is nearer than any outside, so only requests without one go on to the full radius. How small
+    depends on the place: the finest of nine levels, each of half the radius of the one before it, at which a few stations are in reach. In a place with very many
+    stations and observations most of their pairs are never formed. ``inner_rings``, pairs of a radius and a cell size,
+    are tried one after the other instead if they are given; the result does not depend on either.
 
     ``prefilter='group_box'`` also asks that the station lies in the box of the season-region group, which
     loses stations of wide groups.
@@ -183,9 +238,13 @@ def nearest_complete_station(observations: DataFrame, days: DataFrame, radius_km
         requests = requests.join(boxes, "season_region_key")
     requests = requests.withColumn("end_month", _month("end_day"))
     # One row per run: small, and every ring reads it. Months keep the key of a place with very many stations from being one task's work.
-    runs = write_once(_position(gap_free_runs(days, length)), "runs").withColumn("end_month", F.explode(F.sequence(_month("first_end"), _month("last_end"))))
+    runs = write_once(_position(gap_free_runs(days, length)), "runs")
 
     found = None
+    if inner_rings is None:
+        found = write_once(_search_levels(requests, runs, keys, edges, radius_km), "ring")
+        requests = requests.join(found.select(*keys), keys, "left_anti")
+        inner_rings = ()
     for ring_km, ring_cell in [*((r, c) for r, c in inner_rings if r < radius_km), (radius_km, cell)]:
         best = _search_ring(requests, runs, keys, edges, ring_km, ring_cell)
         if ring_km < radius_km:
@@ -230,10 +289,13 @@ def weather_blocks(days: DataFrame, length: int = WEATHER_DAYS, wanted: DataFram
                          *[F.col(f"rows.{c}").alias(f"_{c}") for c in WEATHER_COLUMNS])
 
 
-def attach_windows(matched: DataFrame, days: DataFrame, length: int = WEATHER_DAYS) -> DataFrame:
-    """Add the readings of the window, oldest first, as one array per measure. Only blocks that a window lies in are put together."""
+def attach_windows(matched: DataFrame, days: DataFrame, length: int = WEATHER_DAYS, how: str = "inner") -> DataFrame:
+    """Add the readings of the window, oldest first, as one array per measure. Only blocks that a window lies in are put together.
+
+    With ``how='left'`` rows without a station stay and have null arrays.
+    """
     left = matched.withColumn("block", F.floor(F.unix_date("end_day") / length).cast("int"))
-    joined = left.join(weather_blocks(days, length, left.select("station_key", "block").distinct()), ["station_key", "block"])
+    joined = left.join(weather_blocks(days, length, left.select("station_key", "block").distinct()), ["station_key", "block"], how)
     start = F.array_position("ns", F.unix_date("end_day") - (length - 1)).cast("int")
     joined = joined.withColumn("_start", start)
     return joined.select(

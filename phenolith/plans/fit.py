@@ -1,36 +1,30 @@
 """Newest enriched files in, fitted transform out."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from phenolith.operators.observations import require_fixed_length
+from phenolith.operators.observations import with_length_reasons
 from phenolith.schema import ENRICHED_SCHEMA, TOKEN_LEVELS, WEATHER_COLUMNS, WEATHER_DAYS
 from phenolith.session import write_once
+from phenolith.sinks.catalogue import read_newest
 from phenolith.sinks.state import write_transform_state
-from phenolith.sources.listings import latest_example_files, list_files
-from phenolith.sources.scans import read_examples
 
 
 def fixed_shapes() -> dict[str, int]:
     return {"s2_tokens": TOKEN_LEVELS, **{c: WEATHER_DAYS for c in WEATHER_COLUMNS}}
 
 
-def read_latest(spark, root: str) -> DataFrame:
-    """Rows of the newest version of every category below a flat folder of record files."""
-    paths = [f"{root}/{r['path']}" for r in latest_example_files(list_files(spark, root)).collect()]
-    return read_examples(spark, ENRICHED_SCHEMA, *paths)
-
-
-def latest_rows(enriched: DataFrame) -> DataFrame:
-    """Newest version of each category from the partitioned layout (random: of the kind)."""
-    from pyspark.sql import functions as F
-
-    version = F.when(F.col("kind") == "random", F.col("part_a")).otherwise(F.col("part_b")).cast("string")
-    owner = F.when(F.col("kind") == "random", F.lit("")).otherwise(F.col("part_a").cast("string"))
-    keyed = enriched.withColumns({"_owner": owner, "_version": version})
-    newest = keyed.groupBy("kind", "_owner").agg(F.max("_version").alias("_version"))
-    return keyed.join(newest, ["kind", "_owner", "_version"], "left_semi").drop("_owner", "_version")
+def newest_rows(spark, root: str, kinds: list[str] | None = None) -> DataFrame:
+    """Enriched rows of the newest published version of every category (random: of the kind); older versions are not opened."""
+    return read_newest(spark, root, ENRICHED_SCHEMA, kinds)
 
 
 def run_fit(rows: DataFrame, root: str, version: str | None = None) -> str:
-    """Check shapes, fit on all rows, write the state; the rows are written once and read twice."""
-    return write_transform_state(write_once(require_fixed_length(rows, fixed_shapes()), "enriched"), root, version)
+    """Check shapes, fit on all rows of the declared shapes, write the state; returns its path.
+
+    The rows are written once and read twice. Rows of another shape are rejects, with a reason per wrong column, in the folder ``rejects`` of the state.
+    """
+    judged = write_once(with_length_reasons(rows, fixed_shapes()), "enriched")
+    path = write_transform_state(judged.where(F.size("reasons") == 0).drop("reasons"), root, version)
+    judged.where(F.size("reasons") > 0).write.mode("overwrite").parquet(f"{path}/rejects")
+    return path

@@ -207,6 +207,37 @@ def sample_random_files(spark, sf):
     return SP.sample_random_files(files, 1000, 5)
 
 
+BY_FILE_SQL = f"""
+  WITH random AS (SELECT example_id, {BATCH_OF_RANDOM} AS file_no FROM obs WHERE category = 'random'),
+  total AS (SELECT count(*) AS n, (count(*) // 10)::BIGINT AS wanted FROM random),
+  shares AS (SELECT file_no, count(*) * (SELECT wanted FROM total) // (SELECT n FROM total) AS whole,
+      count(*) * (SELECT wanted FROM total) % (SELECT n FROM total) AS rest FROM random GROUP BY file_no),
+  quotas AS (SELECT file_no, whole + (row_number() OVER (ORDER BY rest DESC, file_no)
+      <= (SELECT wanted FROM total) - (SELECT sum(whole) FROM shares))::BIGINT AS quota FROM shares),
+  drawn AS (SELECT r.*, row_number() OVER (PARTITION BY r.file_no ORDER BY md5('9|' || example_id), example_id) <= quota AS evaluated
+    FROM random r JOIN quotas q ON r.file_no = q.file_no)
+  SELECT example_id, file_no, CASE WHEN evaluated THEN 'eval' ELSE 'train' END AS split FROM (
+    SELECT *, row_number() OVER (PARTITION BY evaluated ORDER BY md5('9|' || example_id), example_id) AS rn FROM drawn)
+  WHERE evaluated OR rn <= (SELECT n FROM total) // 2"""
+
+
+def _by_file(spark, sf):
+    rows = _random(spark, sf).select("example_id", X.random_batch_id().alias("file_no"))
+    n = rows.count()
+    return SP.split_by_file(rows, n // 10, n // 2, 9)
+
+
+@query(f"SELECT file_no, split, count(*) AS n FROM ({BY_FILE_SQL}) GROUP BY ALL")
+def split_rows_per_file(spark, sf):
+    """Evaluation rows spread over the files by largest remainders: the exact counts of both parts in each file."""
+    return _by_file(spark, sf).groupBy("file_no", "split").agg(F.count("*").alias("n"))
+
+
+@query(BY_FILE_SQL)
+def split_by_file(spark, sf):
+    return _by_file(spark, sf)
+
+
 @query("""SELECT p.example_id, coalesce(p.elevation, f.elevation)::BIGINT AS elevation FROM parsed p
   LEFT JOIN (SELECT latitude, longitude, arg_min(elevation, position) AS elevation FROM (
       SELECT w.latitude, w.longitude, k.position, k.elevation

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from phenolith import adapters as A
 from phenolith.operators import features as FE
+from phenolith.operators import models as M
 from phenolith.plans.enrich import enrich
 from phenolith.queries import query
 from phenolith.schema import SCALED_COLUMNS, VOCABULARY_COLUMNS
@@ -48,12 +49,10 @@ def string_to_int(spark, sf):
 
 @query(IDS_SQL, name="lookup_vocabulary_by_join")
 def lookup_vocabulary_by_join(spark, sf):
-    """The same ids with every vocabulary treated as too large to broadcast."""
+    """The same ids by a join for each column, as rows of a stream are looked up."""
     rows = enriched(spark, sf)
-    state = FE.fitted(FE.fit_vocabularies(rows), FE.fit_minmax(rows))
     wide = FE.token_levels(rows).select("example_id", *VOCABULARY_COLUMNS)
-    found = FE.lookup_vocabulary(wide, state, VOCABULARY_COLUMNS, broadcast_entries=0)
-    return found.select("example_id", *VOCABULARY_COLUMNS)
+    return FE._lookup_by_column(wide, FE.fit_vocabularies(rows), VOCABULARY_COLUMNS, dict.fromkeys(VOCABULARY_COLUMNS, 0))
 
 
 @query("""SELECT s.example_id, round(any_value((m.elevation - c.elevation_min) / (c.elevation_max - c.elevation_min)), 4) AS elevation,
@@ -126,15 +125,42 @@ def preprocess(spark, sf):
         "example_id", *VOCABULARY_COLUMNS, *[x for c in FE.CHUNKED_FEATURES for x in _chunks(c)])
 
 
-@query()
+@query(f"""SELECT i.example_id, i.eco_biome, i.eco_num,
+    ('0x' || left(md5(i.eco_biome::VARCHAR || '_X_' || i.eco_num::VARCHAR), 15))::BIGINT % greatest(b.n, 1) AS bucket
+  FROM ({IDS_SQL}) i, (SELECT max(id) FILTER (WHERE feature = 'eco_biome') * max(id) FILTER (WHERE feature = 'eco_num') * 10 AS n FROM vocab) b""")
 def crossed_bucket(spark, sf):
-    """Hash buckets of the pair of eco ids; the hash function is Spark's own."""
+    """Hash buckets of the pair of eco ids."""
     done, state = FE.preprocess(
         enrich(A.parsed_observations(spark, sf), A.readings(spark, sf), A.stations(spark, sf)), keep=("example_id",))
     buckets = FE.crossed_bucket_count(state.sizes["eco_biome"] - 1, state.sizes["eco_num"] - 1)
     return done.select("example_id", "eco_biome", "eco_num", FE.crossed_bucket(buckets=buckets).alias("bucket"))
 
 
+@query(f"""SELECT i.example_id, 91 AS dense, 2 AS ids, i.s2_token_3, i.s2_token_4, round(c.avg_temp_sum + c.temp_difference_sum + c.precipitation_sum + c.daylight_sum + e.elevation, 3) AS total
+  FROM ({IDS_SQL}) i JOIN (SELECT example_id, {CHUNK_SQL} FROM scaled_win GROUP BY example_id) c ON c.example_id = i.example_id
+  JOIN (SELECT m.example_id, (m.elevation - s.elevation_min) / (s.elevation_max - s.elevation_min) AS elevation FROM matched m JOIN scaler s ON true) e ON e.example_id = i.example_id""")
+def assemble_vector(spark, sf):
+    """The numbers and ids that the network reads, without the label, from the columns that it needs alone: their count, sum and tokens."""
+    rows = enriched(spark, sf)
+    state = FE.fit(rows)
+    done = FE.apply_transform(rows, state, keep=("example_id",))
+    needed = FE.select_features(FE.drop_label_columns(done)).columns
+    ready = M.model_input(done.select("example_id", *needed), state, label=False)
+    return ready.select(
+        "example_id", F.size("dense").alias("dense"), F.size("ids").alias("ids"), "s2_token_3", "s2_token_4", F.round(_total("dense"), 3).alias("total"))
+
+
+@query("""SELECT 'category' AS label, count(*) AS n FROM (SELECT unnest(['eco_biome', 'eco_num', 'elevation', 'min_temp', 'max_temp', 'daylight', 'precipitation']
+  || list_transform(range(17), lambda k: 's2_token_' || k::VARCHAR)))""")
+def column_difference(spark, sf):
+    """What transformed rows have beside the label, by name, with the labels of the rows that it is taken from."""
+    rows = enriched(spark, sf)
+    done = FE.apply_transform(rows, FE.fit(rows))
+    bare = FE.drop_label_columns(done)
+    gone = [c for c in done.columns if c not in bare.columns]
+    return done.groupBy(F.lit(gone[0]).alias("label")).agg(F.lit(len(bare.columns)).cast("long").alias("n"))
+
+
 @query("""SELECT feature, max(id) AS buckets, ceil(pow(max(id), 0.25::DOUBLE))::BIGINT AS size FROM vocab GROUP BY feature""")
 def embedding_size(spark, sf):
     top = FE.domain_max(FE.fit_vocabularies(enriched(spark, sf)))

@@ -3,17 +3,19 @@
 from pyspark.sql import functions as F
 
 from phenolith import adapters as A
+from phenolith.functions import columns as X
 from phenolith.operators import features as FE
 from phenolith.operators import observations as O
 from phenolith.plans import fit as FIT
 from phenolith.plans import teach as T
-from phenolith.plans.enrich import run_enrich
+from phenolith.plans.enrich import PUBLISHED_SCHEMA, run_enrich
 from phenolith.queries import query
 from phenolith.queries.counting import SPLIT_SQL, _split
 from phenolith.queries.feature import enriched
 from phenolith.queries.sql import ROUTING
 from phenolith.schema import WEATHER_COLUMNS
 from phenolith.session import scratch_path
+from phenolith.sinks import catalogue as C
 from phenolith.sinks import state as ST
 from phenolith.sinks import writers as W
 
@@ -32,19 +34,53 @@ def write_by_category(spark, sf):
     return back.groupBy(*[F.col(c).cast("string").alias(c) for c in W.LAYOUT]).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT reason, n FROM (
-    SELECT 'written' AS reason, count(*) AS n FROM matched
-    UNION ALL SELECT 'no_complete_station', (SELECT count(*) FROM obs) - (SELECT count(*) FROM matched)
-    UNION ALL SELECT 'invalid', (SELECT count(*) FROM parsed) - (SELECT count(*) FROM obs)) WHERE n > 0""")
+@query("""WITH odd AS (SELECT p.*, unnest(CASE WHEN regexp_matches(p.example_id, '7$') THEN [1, 2, 3] ELSE [1] END) AS copy FROM parsed p),
+  judged AS (SELECT o.*, m.example_id IS NOT NULL AS found, g.example_id IS NOT NULL AS good FROM odd o
+    LEFT JOIN (SELECT DISTINCT example_id FROM matched) m ON o.example_id = m.example_id LEFT JOIN (SELECT DISTINCT example_id FROM obs) g ON o.example_id = g.example_id)
+  SELECT reason, count(*) AS n, count(copied) AS ids FROM (
+    SELECT CASE WHEN NOT good THEN 'invalid' WHEN copy = 3 OR NOT found THEN 'no_complete_station' ELSE 'written' END AS reason,
+      CASE WHEN copy <> 2 THEN example_id END AS copied FROM judged) GROUP BY reason""")
 def enrich_accounting(spark, sf):
-    """Every parsed row is either written or a reject of the job, once."""
-    root = f"{scratch_path(spark, 'accounting')}/rows"
-    folder = run_enrich(A.parsed_observations(spark, sf), A.readings(spark, sf), A.stations(spark, sf), root, VERSION)
+    """Every parsed row is either written or a reject of the job, once: also where an id stands for three rows, one without id and one far from all stations."""
+    root = scratch_path(spark, "accounting")
+    copies = F.explode(F.when(F.col("example_id").endswith("7"), F.array(*map(F.lit, (1, 2, 3)))).otherwise(F.array(F.lit(1))))
+    odd = A.parsed_observations(spark, sf).withColumn("copy", copies).withColumns({
+        "example_id": F.when(F.col("copy") != 2, F.col("example_id")),
+        "latitude": F.when((F.col("copy") == 3) & (F.col("latitude") != 0), F.lit(-60.0)).otherwise(F.col("latitude"))})
+    # Random rows are routed by their ids; those without one get the category of an occurrence.
+    kept = odd.withColumn("category", F.when(F.col("example_id").isNull(), F.lit("u1")).otherwise(F.col("category")))
+    run_enrich(kept, A.readings(spark, sf), A.stations(spark, sf), root, VERSION)
     own = ("year", "no_complete_station", "category_unroutable", "no_daylight")
     first = F.element_at("reasons", 1)
-    rejects = spark.read.parquet(folder).select(F.when(first.isin(*own), first).otherwise("invalid").alias("reason"))
-    written = W.read_by_category(spark, root).select(F.lit("written").alias("reason"))
-    return written.unionByName(rejects).groupBy("reason").agg(F.count("*").alias("n"))
+    rejects = C.read_version(spark, root, PUBLISHED_SCHEMA, VERSION, rejects=True).select("example_id", F.when(first.isin(*own), first).otherwise("invalid").alias("reason"))
+    written = C.read_version(spark, root, PUBLISHED_SCHEMA, VERSION).select("example_id", F.lit("written").alias("reason"))
+    return written.unionByName(rejects).groupBy("reason").agg(F.count("*").alias("n"), F.count("example_id").alias("ids"))
+
+
+@query(f"""WITH every AS (
+    SELECT 'first' AS version, CASE WHEN category = 'random' THEN 'random' ELSE 'occurrences' END AS kind, CASE WHEN category <> 'random' THEN category ELSE '' END AS owner, example_id FROM obs
+    UNION ALL SELECT 'second', 'occurrences', category, example_id FROM obs WHERE category IN ('u0', 'u3')
+    UNION ALL SELECT 'second', 'random', '', example_id FROM obs WHERE category = 'random' AND example_id LIKE '%1'
+    UNION ALL SELECT 'first', 'protected_areas', d, s2_tokens[16] FROM areas, (VALUES ('19980106'), ('19980109')) t(d)
+    UNION ALL SELECT 'second', 'protected_areas', '19980109', s2_tokens[16] FROM areas),
+  newest AS (SELECT kind, owner, max(version) AS version FROM every GROUP BY kind, owner)
+  SELECT kind, owner, version, count(*) AS n, count(DISTINCT example_id) AS ids FROM every JOIN newest USING (kind, owner, version) GROUP BY ALL""")
+def union_file_sets(spark, sf):
+    """Two versions of three kinds, written and published; the second has some of the owners. The newest rows of all owners are read back."""
+    root = scratch_path(spark, "file-sets")
+    obs = A.observations(spark, sf)
+    areas = O.explode_area_dates(A.areas(spark, sf).withColumn("obs_date", F.lit(None).cast("date")).drop("obs_date"), "19980106,19980109")
+    own = ["example_id", "category"]
+    later = obs.where("category in ('u0', 'u3') or (category = 'random' and example_id like '%1')")
+    for version, rows in (("first", obs.select(*own).unionByName(areas.select(*own))), ("second", later.select(*own).unionByName(areas.where("date_string = '19980109'").select(*own)))):
+        laid = W.with_layout(rows.withColumn("routing_category", X.routing_category()), version).select(*own, *W.LAYOUT)
+        attempt = C.new_attempt(version)
+        C.stage(laid, root, attempt)
+        C.publish(spark, root, attempt, obs.select(*own).schema)
+    newest = C.newest_parts(C.parts(spark, root))
+    back = C.read_parts(spark, root, obs.select(*own).schema, newest)
+    owner, version = F.when(F.col("kind") == "random", "").otherwise(F.col("part_a")), F.when(F.col("kind") == "random", F.col("part_a")).otherwise(F.col("part_b"))
+    return back.groupBy("kind", owner.alias("owner"), version.alias("version")).agg(F.count("*").alias("n"), F.count_distinct("example_id").alias("ids"))
 
 
 @query(f"SELECT split, count(*) AS n, min(example_id) AS first_id FROM ({SPLIT_SQL}) GROUP BY split")
@@ -86,7 +122,7 @@ def write_transform_state(spark, sf):
     root = scratch_path(spark, "lifecycle")
     parsed = A.parsed_observations(spark, sf)
     run_enrich(parsed, A.readings(spark, sf), A.stations(spark, sf), f"{root}/rows", VERSION)
-    rows = FIT.latest_rows(W.read_by_category(spark, f"{root}/rows"))
+    rows = FIT.newest_rows(spark, f"{root}/rows")
     FIT.run_fit(rows.select(*O.OBSERVATION_COLUMNS, *WEATHER_COLUMNS), root, VERSION)
     return ST.read_transform_state(spark, ST.latest_transform_state(spark, root)).vocabulary.select("feature", "token", "n", "id")
 

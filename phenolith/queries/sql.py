@@ -5,7 +5,7 @@
 
 import re
 
-from phenolith.adapters import CALENDAR_END, CALENDAR_START, RANDOM_BATCH
+from phenolith.adapters import CALENDAR_EPOCH, CALENDAR_LEAD, RANDOM_BATCH
 from phenolith.functions.geo import ELLIPSOID_FLATTENING, ELLIPSOID_MAJOR_KM, ELLIPSOID_MINOR_KM
 
 LAT = "CASE WHEN {k} % 97 = 0 THEN 0.0::DOUBLE ELSE 25.0::DOUBLE + (({k} * 37) % 120)::DOUBLE / 10.0::DOUBLE END"
@@ -66,8 +66,9 @@ CTES: dict[str, str] = {
          strftime(day, '%d') AS da, (high + low) / 2.0::DOUBLE AS temp, low AS min, high AS max,
          ((s + n) % 7)::DOUBLE / 10.0::DOUBLE AS prcp, day
   FROM (SELECT s, day, n, ((s * 7 + n * 3) % 35 + 60)::DOUBLE AS high, ((s * 5 + n) % 35 + 20)::DOUBLE AS low
-        FROM (SELECT s_suppkey AS s, n, DATE '{CALENDAR_START}' + n::INTEGER AS day
-              FROM supplier, range(0, DATE '{CALENDAR_END}' - DATE '{CALENDAR_START}' + 1) AS t(n)) c
+        FROM (SELECT s_suppkey AS s, (day - DATE '{CALENDAR_EPOCH}') + 7000 AS n, day FROM supplier,
+                (SELECT first + unnest(range(0, last - first + 1))::INTEGER AS day
+                 FROM (SELECT min(o_orderdate)::DATE - {CALENDAR_LEAD} AS first, max(o_orderdate)::DATE AS last FROM orders))) c
         WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 50
                           AND l_suppkey = c.s AND l_shipdate::DATE = c.day))""",
     "joined": """

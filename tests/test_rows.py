@@ -134,11 +134,12 @@ def test_vocabulary(spark, feature_rows):
 def test_apply_and_unknown_tokens(spark, feature_rows):
     state = FE.fit(feature_rows)
     fresh = feature_rows.where("example_id = 'e5'").withColumn("eco_biome", F.lit("unseen"))
-    for limit in (1000, 0):
-        wide = FE.token_levels(fresh)
-        zero = FE.lookup_vocabulary(wide, state, ["eco_biome", "s2_token_3"], broadcast_entries=limit).first()
-        own = FE.lookup_vocabulary(wide, state, ["eco_biome", "s2_token_3"], oov="separate", broadcast_entries=limit).first()
-        assert (zero["eco_biome"], zero["s2_token_3"], own["eco_biome"]) == (0, 0, 3)
+    wide = FE.token_levels(fresh)
+    zero = FE.lookup_vocabulary(wide, state, ["eco_biome", "s2_token_3"]).first()
+    own = FE.lookup_vocabulary(wide, state, ["eco_biome", "s2_token_3"], oov="separate").first()
+    assert (zero["eco_biome"], zero["s2_token_3"], own["eco_biome"]) == (0, 0, 3)
+    by_column = FE._lookup_by_column(wide, state.vocabulary, ["eco_biome", "s2_token_3"], {"eco_biome": 3, "s2_token_3": 0}).first()
+    assert (by_column["eco_biome"], by_column["s2_token_3"]) == (3, 0)
     row = FE.apply_transform(feature_rows, state, keep=("example_id",)).where("example_id = 'e5'").first()
     assert row["elevation"] == 1.0 and abs(row["max_temp"][119] - 1.0) < 1e-12 and "avg_temp" not in row.asDict()
 

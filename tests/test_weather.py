@@ -130,3 +130,45 @@ def test_year_month_plan(spark):
     df = spark.createDataFrame([(datetime.date(2017, 4, 6),), (datetime.date(2017, 4, 8),)], "obs_date date")
     got = {(r[0], r[1]) for r in W.year_month_plan(df).collect()}
     assert got == {(2016, 12), (2017, 1), (2017, 2), (2017, 3), (2017, 4)}
+
+
+def test_a_dense_place_forms_few_pairs(spark, monkeypatch):
+    """10,000 stations in one cell of a degree, half of them with a gap, and a few far away: few pairs per request, the nearest of all."""
+    rnd = random.Random(5)
+    places = [(round(40.2 + rnd.random() * 0.6, 6), round(-80.8 + rnd.random() * 0.6, 6)) for _ in range(10_000)] + [(41.5, -79.5), (38.0, -85.0)]
+    runs = [(f"{lat:.6f}|{lon:.6f}", lat, lon, day(100), day(400) if i % 2 else day(150)) for i, (lat, lon) in enumerate(places)]
+    held = spark.createDataFrame(runs, "station_key string, lat double, lon double, first_end date, last_end date")
+    monkeypatch.setattr(W, "gap_free_runs", lambda days, length: held.select("station_key", "first_end", "last_end"))
+    points = [(f"e{i}", round(40.1 + rnd.random() * 0.8, 4), round(-80.9 + rnd.random() * 0.8, 4), day(rnd.choice([120, 300]))) for i in range(300)]
+    points += [("far", 41.9, -79.5, day(300)), ("none", 10.0, 10.0, day(300))]
+    o = spark.createDataFrame(points, "example_id string, latitude double, longitude double, obs_date date")
+    pairs, nearest = [], W._nearest
+
+    def counted(joined, *more):
+        pairs.append(joined.count())
+        return nearest(joined, *more)
+
+    monkeypatch.setattr(W, "_nearest", counted)
+    got = {r["example_id"]: (r["station_key"], r["km"]) for r in W.match_stations(o, None).collect()}
+    assert sum(pairs) < 60 * len(points)
+    for name, lat, lon, date in points:
+        end = date - datetime.timedelta(days=3)
+        near = sorted((round(km(lat, lon, a, b), 6), key) for key, a, b, first, last in runs if first <= end <= last and abs(a - lat) < 1.5)
+        want = [(key, d) for d, key in near if d <= 100][:1]
+        assert [got[name]] == want if want else name not in got
+
+
+def test_only_needed_months_and_stations_are_read(spark):
+    from phenolith.plans.enrich import needed_days, readings_of_span
+
+    o = spark.createDataFrame([(40.0, -80.0, datetime.date(2016, 7, 1)), (40.1, -80.0, datetime.date(2018, 1, 10)), (40.1, -80.0, None)], "latitude double, longitude double, obs_date date")
+    months = {(r["year"], r["month"]) for r in W.window_months(o).collect()}
+    assert months == {(2016, m) for m in range(3, 8)} | {(2017, m) for m in (9, 10, 11, 12)} | {(2018, 1)}  # 122 days back from both
+    days = spark.range(1200).selectExpr("date_add(date '2015-06-01', int(id)) as d", "explode(array('1', '2')) as stn").selectExpr(
+        "stn", "'0' as wban", "date_format(d, 'yyyy') as year", "date_format(d, 'MM') as mo", "date_format(d, 'dd') as da", "50D as temp", "40D as min", "60D as max", "0D as prcp")
+    got = {(int(r["year"]), int(r["mo"])) for r in readings_of_span(days, o).select("year", "mo").distinct().collect()}
+    assert got == months
+    stations = spark.createDataFrame([("1", "0", 40.3, -80.2), ("2", "0", 47.0, -80.0)], "usaf string, wban string, lat double, lon double")
+    kept = needed_days(o, days, stations)
+    assert {r["station_key"] for r in kept.select("station_key").distinct().collect()} == {"40.300000|-80.200000"}
+    assert needed_days(o.limit(0), days, stations).count() == 0

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phenolith.session import write_once
@@ -26,6 +26,8 @@ ROLL_BYTES = 32 << 20  # a file is closed once its compressed size reaches this
 SHARD_BYTES = 64 << 20  # payload bytes that a shard aims at
 FILES_PER_TASK = 2  # read by one task, one after another
 RANGES = 1 << 16  # key ranges that are counted to cut shards; their counts are all the driver sees
+MAX_TASKS = 50_000
+_DIGITS = 15  # hex digits of a digest that cut the records of one key
 DATE = "2020-01-01T00:00:00Z"  # of every record, so that the bytes don't depend on the clock
 
 _MANIFEST = "shard bigint, file string, temporary string, records bigint, bytes bigint, sha256 string"
@@ -126,17 +128,64 @@ def _renamer(folder: str):
     return run
 
 
-def _shards(df: DataFrame, shard_bytes: int) -> DataFrame:
-    """``df`` with ``shard``: consecutive key ranges of about ``shard_bytes``. Null keys come first, in shard 0."""
-    ends = df.agg(F.min("key").alias("lo"), F.max("key").alias("hi")).first()
+def _cells(df: DataFrame, place: Column, by: list[str]) -> list:
+    """Bytes and key bounds of each cell, in order; a cell's rows share ``by`` and the ``place`` in it."""
+    cells = df.groupBy(*by, place.alias("place")).agg(
+        F.sum(F.col("n") + 512).alias("bytes"), F.min("key").alias("lo"), F.max("key").alias("hi"), F.min("sha").alias("first"), F.max("sha").alias("last"))
+    return sorted(cells.collect(), key=lambda r: [r[c] for c in (*by, "place")])
+
+
+def _shards(df: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
+    """``df`` with ``shard``, consecutive ranges of key and payload digest of about ``shard_bytes``, and how many there are. Null keys come first, in shard 0.
+
+    Keys are counted in ranges of one width; a range that holds more than a shard is counted again within its own smallest and largest key, and a key that
+    holds more by its digests, until no cell does or all its records are equal. What comes to the driver grows with the number of shards.
+    """
+    ends = df.agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.sum(F.col("n") + 512).alias("bytes")).first()
     if ends["lo"] is None:
-        return df.withColumn("shard", F.lit(0).cast("bigint"))
+        return df.withColumn("shard", F.lit(0).cast("bigint")), 1
     width = max(1, -(-(ends["hi"] - ends["lo"] + 1) // RANGES))
-    ranged = df.withColumn("range", F.coalesce(F.floor((F.col("key") - F.lit(ends["lo"])) / width), F.lit(0)))
-    sizes = sorted(tuple(r) for r in ranged.groupBy("range").agg(F.sum(F.col("n") + 512)).collect())
-    total = np.cumsum([n for _, n in sizes]) - [n for _, n in sizes]
-    shards = df.sparkSession.createDataFrame([(int(r), int(t // shard_bytes)) for (r, _), t in zip(sizes, total, strict=True)], "range bigint, shard bigint")
-    return ranged.join(F.broadcast(shards), "range").drop("range")  # one row per range, RANGES at most
+    placed = df.withColumn("p0", F.coalesce(F.floor((F.col("key") - F.lit(ends["lo"])) / width), F.lit(0)))
+    # Cells by path: (path, bytes); a heavy cell is replaced by those it is cut into, which are sorted right where it was.
+    done: dict[tuple, int] = {}
+    open_ = [((r["place"],), r) for r in _cells(placed, F.col("p0"), [])]
+    by, depth = ["p0"], 0
+    while True:
+        heavy = [(path, r) for path, r in open_ if r["bytes"] > shard_bytes and (r["lo"], r["first"]) != (r["hi"], r["last"]) and r["lo"] is not None]
+        cut = {path for path, _ in heavy}
+        done |= {path: r["bytes"] for path, r in open_ if path not in cut}
+        if not heavy:
+            break
+        depth += 1
+        rows = []
+        for path, r in heavy:
+            parts = 4 * -(-r["bytes"] // shard_bytes)
+            single = r["lo"] == r["hi"]
+            lo, hi = (int(r["first"][:_DIGITS], 16), int(r["last"][:_DIGITS], 16)) if single else (r["lo"], r["hi"])
+            if single and lo == hi:  # digests that begin alike: as good as equal
+                done[path] = r["bytes"]
+                continue
+            rows.append((*path, single, lo, max(1, -(-(hi - lo + 1) // parts))))
+        if not rows:
+            break
+        names = [*by, "_single", "_lo", "_width"]
+        table = df.sparkSession.createDataFrame(rows, ", ".join(f"{c} {'boolean' if c == '_single' else 'bigint'}" for c in names))
+        value = F.when(F.col("_single"), F.conv(F.substring("sha", 1, _DIGITS), 16, 10).cast("bigint")).otherwise(F.col("key"))
+        joined = placed.join(F.broadcast(table), by, "left")  # a row per heavy cell, fewer than there are shards
+        # A null key has its cell's first place.
+        placed = joined.withColumn(f"p{depth}", F.coalesce(F.floor((value - F.col("_lo")) / F.col("_width")), F.lit(0))).withColumn("_cut", F.col("_lo").isNotNull())
+        cells = _cells(placed.where("_cut"), F.col(f"p{depth}"), by)
+        placed = placed.drop("_single", "_lo", "_width", "_cut")
+        open_ = [((*[r[c] for c in by], r["place"]), r) for r in cells]
+        by = [*by, f"p{depth}"]
+    order = sorted(done)
+    sizes = [done[path] for path in order]
+    starts = np.cumsum(sizes) - sizes
+    full = lambda path: (*path, *[0] * (len(by) - len(path)))
+    rows = [(*map(int, full(path)), int(t // shard_bytes)) for path, t in zip(order, starts, strict=True)]
+    number = {s: i for i, s in enumerate(sorted({r[-1] for r in rows}))}  # a heavy cell may have left numbers out
+    table = df.sparkSession.createDataFrame([(*r[:-1], number[r[-1]]) for r in rows], ", ".join(f"{c} bigint" for c in by) + ", shard bigint")
+    return placed.join(F.broadcast(table), by).drop(*by), len(number)  # a row per cell: RANGES and four a shard at most
 
 
 def write_archive(df: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html", least: int = 0,
@@ -159,8 +208,10 @@ def write_archive(df: DataFrame, folder: str, key: str = "page_id", url: str = "
     # What a page revisits travels as a note that is sorted right before it, so that pages are shuffled once and for the order only.
     notes = again.select("key", "sha", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), F.lit(0).cast("bigint").alias("n"), "refers_to", F.lit(False).alias("page"))
     pages = rows.select("key", "sha", "url", "payload", "n", F.lit(None).cast("bigint").alias("refers_to"), F.lit(True).alias("page"))
-    placed = _shards(pages.unionByName(notes), shard_bytes)
-    sorted_ = placed.repartition("shard").sortWithinPartitions("shard", "key", "sha", "page", "url").select("shard", "key", "sha", "url", "payload", "refers_to", "page")
+    placed, shards = _shards(pages.unionByName(notes), shard_bytes)
+    # One partition per shard, in their order; beyond MAX_TASKS of them, as many shards in a row to each.
+    tasks = min(shards, MAX_TASKS)
+    sorted_ = placed.repartitionById(tasks, F.expr(f"int(shard * {tasks} div {shards})")).sortWithinPartitions("shard", "key", "sha", "page", "url").select("shard", "key", "sha", "url", "payload", "refers_to", "page")
     written = write_once(sorted_.mapInArrow(_writer(folder, roll, level), _MANIFEST), "archive-files")
     manifest = written.mapInArrow(_renamer(folder), _MANIFEST).drop("temporary")
     manifest.write.mode("overwrite").parquet(f"{folder}/manifest")

@@ -3,7 +3,9 @@
 import base64
 import hashlib
 import random
+import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -128,3 +130,66 @@ def test_empty_archive(spark, tmp_path):
     given = spark.createDataFrame([], "page_id long, url string, html string")
     assert archive.write_archive(given, str(tmp_path / "e")).count() == 0
     assert archive.read_archive(spark, str(tmp_path / "e")).count() == 0
+
+
+@pytest.mark.parametrize("keys", [lambda i: i if i < 299 else 1 << 40, lambda i: -(1 << 50) if i == 0 else i, lambda i: 7, lambda i: i // 100])
+def test_outlying_and_repeated_keys_leave_shards_of_one_size(spark, tmp_path, keys):
+    rows = [(keys(i), f"u{i}", f"page {i} " + "x" * 300) for i in range(300)]
+    given = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    manifest = archive.write_archive(given, str(tmp_path / "a"), shard_bytes=10_000).collect()
+    records = [r.records for r in manifest]
+    assert sum(records) == 300 and max(records) <= 30 and len(records) >= 20
+    back = sorted((r.key, r.url, bytes(r.payload).decode()) for r in archive.read_archive(spark, str(tmp_path / "a")).collect())
+    assert back == sorted(rows)
+    assert {r.file for r in manifest} == {r.file for r in archive.write_archive(given.repartition(5), str(tmp_path / "b"), shard_bytes=10_000).collect()}
+
+
+def _plain_tokens(text: str) -> list[int]:
+    """Hashes of runs of letters, of numbers (all alike) and of single other characters, one token at a time."""
+    found = re.findall(rb"[A-Za-z\x80-\xff]+|[0-9]+|[!-/:-@\[-`{-\x7f]", text.encode())
+    return [1 if t.isdigit() else int(quality_model.tokens([t])[0][0]) for t in found]
+
+
+def test_vectors_equal_plain_loops(spark):
+    texts = ["The cat, the 12 cats & 7 dogs.", "a b a b a", "", None, "één woord", "x", "the cat the dog the cat 99"]
+    one = int(quality_model.tokens([b"5"])[0][0])
+    tokens = [[one if h == 1 else h for h in _plain_tokens(t or "")] for t in texts]
+    bucket = lambda h: h >> (64 - 15)
+    table, counts = {}, {}
+    for row in tokens:
+        for i, h in enumerate(row):
+            counts[bucket(h)] = counts.get(bucket(h), 0) + 1
+            for j in range(max(0, i - quality_model.WINDOW), min(len(row), i + quality_model.WINDOW + 1)):
+                if j != i:
+                    for k in range(quality_model.SPARSE):
+                        bits = row[j] >> (6 * k)
+                        vector = table.setdefault(bucket(h), [0] * quality_model.SIZE)
+                        vector[bits & (quality_model.SIZE - 1)] += 1 if (bits >> 5) & 1 else -1
+    total = sum(counts.values())
+    want = np.zeros((quality_model.BUCKETS, quality_model.SIZE))
+    for b, n in counts.items():
+        raw = np.array(table.get(b, [0] * quality_model.SIZE), dtype=float)
+        want[b] = raw / max(np.linalg.norm(raw), 1e-9) * (1e-2 / (1e-2 + n / total))
+    got = quality_model.word_vectors(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    assert np.allclose(got, want, atol=1e-6) and len(counts) > 10
+    pooled = quality_model.pooled([None if t is None else t.encode() for t in texts], got)
+    for row, out in zip(tokens, pooled, strict=True):
+        if not row:
+            assert (out == 0).all()
+            continue
+        v = np.array([got[bucket(h)] for h in row], dtype=float)
+        steps = [v[i] - v[i - 1] if i else v[0] * 0 for i in range(len(v))]
+        plain = np.concatenate([v.mean(0), v.std(0), np.sqrt((np.array(steps) ** 2).mean(0))])
+        assert np.allclose(out, plain, atol=1e-4)
+
+
+def test_temperature_is_the_best_of_a_grid():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(900, 6))
+    y = (x[:, 0] + 0.8 * rng.normal(size=900) > 0).astype(int)
+    spare = np.arange(900) % 3 == 0
+    net = quality_model.fit_network(x, y, spare)
+    logit = net.logit(x[spare])
+    loss = lambda t: np.mean(np.log1p(np.exp(-np.where(y[spare] == 1, 1, -1) * logit / t)))
+    assert loss(net.temperature) <= min(loss(t) for t in np.linspace(0.3, 7.5, 500)) + 1e-4
+    assert abs(net.probability(x[spare]).mean() - y[spare].mean()) < 0.1

@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +140,48 @@ def test_reliabilities_find_the_good_labeler():
     table = np.array([[1, 1, 0, 1], [1, 1, 0, -1], [-1, -1, 0, 1], [-1, -1, 0, -1]])
     p, _ = personal_data.reliabilities(table, np.array([50.0, 40.0, 40.0, 50.0]))
     assert p[0] > 0.9 and p[1] > 0.9 and p[2] < 0.1 and p[3] < 0.1
+
+
+def _planted(spark):
+    """Mails, numbers and cards in other shapes than the exact ones, with words beside them, and look-alikes."""
+    people = ["ann.lee", "bob_k", "carla", "d.smith", "eve99", "frank.o", "gina", "hugo.m"]
+    rows, wanted = [], {}
+    for i in range(160):
+        who, area = people[i % 8], 201 + (i * 37) % 700
+        area += 1 if area % 100 == 11 else 0
+        exact = [f"Write to {who}{i}@example.com for help.", f"Call our office, phone +1 {area} 555 {2000 + i}, any day.", f"Pay by credit card 4111 1111 1111 1111 now {i}."][i % 3]
+        rows.append((i, exact))
+        hidden = f"{who}{i} [at] example [dot] com"
+        national = f"({area}) 4{i % 90 + 10:02d}-{3000 + i}"
+        if i % 4 == 0:
+            rows.append((1000 + i, f"Please contact {hidden} with questions about item {i}."))
+            wanted[1000 + i] = hidden
+        elif i % 4 == 1:
+            rows.append((1000 + i, f"Our phone is {national} during the day, room {i}."))
+            wanted[1000 + i] = national
+        elif i % 4 == 2:
+            rows.append((1000 + i, f"The order serial 0{i % 10}0-{100 + i}-0000 was shipped, invoice {i}."))
+        else:
+            rows.append((1000 + i, f"See version {i % 9}.300.{i}.999 of the section, and ticket 0000000000{100 + i}1."))
+    return spark.createDataFrame(rows, "doc_id long, text string"), wanted
+
+
+def test_votes_find_what_patterns_miss(spark):
+    docs, wanted = _planted(spark)
+    found = {r.doc_id: (r.text, [s for s in r.spans if s.kind.startswith("more_")]) for r in personal_data.find_personal_data(docs).join(docs, "doc_id").collect()}
+    hits = sum(any(text[s.start : s.stop] == wanted[i] for s in spans) for i, (text, spans) in found.items() if i in wanted)
+    false = sum(len(spans) for i, (_, spans) in found.items() if i not in wanted)
+    assert hits >= 0.9 * len(wanted) and false <= 0.05 * len(wanted)
+
+
+def test_reliabilities_come_back():
+    """Votes drawn with known reliabilities: the estimates are near them, and the combined verdict beats the best labeler."""
+    rng = np.random.default_rng(3)
+    truth = rng.random(20_000) < 0.4
+    right = np.array([0.9, 0.75, 0.6, 0.55])
+    drawn = np.where(rng.random((20_000, 4)) < right, np.where(truth, 1, -1)[:, None], np.where(truth, -1, 1)[:, None])
+    table, inverse, counts = np.unique(drawn, axis=0, return_inverse=True, return_counts=True)
+    p, given = personal_data.reliabilities(table, counts.astype(float))
+    assert np.allclose(given[1, :, 2], right, atol=0.06) and np.allclose(given[0, :, 0], right, atol=0.06)
+    verdict = p[inverse] > 0.5
+    assert (verdict == truth).mean() >= 0.9

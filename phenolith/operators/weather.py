@@ -18,7 +18,7 @@ CELL_DEGREES = 1.0
 # Searched before the full radius, each request at the level that fits the density of stations around it: kilometres and cell size in degrees, each level half of
 # the one before it, and the stations in reach that make a level dense enough.
 LEVELS = tuple((25.0 / 2**k, 0.25 / 2**k) for k in range(9))
-ENOUGH_STATIONS = 4
+ENOUGH_STATIONS, COARSER = 16, 2  # the second: levels by which a request that finds none is searched again
 
 
 def keyed_stations(stations: DataFrame) -> DataFrame:
@@ -168,37 +168,36 @@ def _nearest(pairs: DataFrame, keys: list[str], edges: list[str], ring) -> DataF
     return pairs.groupBy(*keys).agg(F.min(F.struct("km", "station_key")).alias("best")).select(*keys, "best.*")
 
 
-def _level_cells(lat: str, lon: str, station: bool):
-    """Level and cell, for each level: the one that a request lies in, or all that a station's circle of that level touches."""
-    parts = []
-    for k, (km, size) in enumerate(LEVELS):
-        if station:
-            parts.append(F.transform(geo.reachable_cells(lat, lon, km, size), lambda c, k=k: F.struct(F.lit(k).alias("level"), c["cell_y"].alias("cell_y"), c["cell_x"].alias("cell_x"))))
-        else:
-            parts.append(F.array(F.struct(F.lit(k).alias("level"), geo.cell_y(lat, size).cast("int").alias("cell_y"), geo.cell_x(lon, size).cast("int").alias("cell_x"))))
-    return F.inline(F.concat(*parts))
+def _cells_of(lat: str, lon: str) -> list:
+    """Level and cell of a request, one struct per level."""
+    return [F.struct(F.lit(k).alias("level"), geo.cell_y(lat, size).alias("cell_y"), geo.cell_x(lon, size).alias("cell_x")) for k, (_, size) in enumerate(LEVELS)]
+
+
+def _reached_cells(lat: str, lon: str):
+    """Level and cell of all that a station's circle of each level touches."""
+    tagged = lambda k: lambda c: F.struct(F.lit(k).alias("level"), c["cell_y"].alias("cell_y"), c["cell_x"].alias("cell_x"))
+    return F.inline(F.concat(*[F.transform(geo.reachable_cells(lat, lon, km, size), tagged(k)) for k, (km, size) in enumerate(LEVELS)]))
 
 
 def _fitting_levels(requests: DataFrame, runs: DataFrame) -> DataFrame:
-    """For each position the finest level at which enough stations with a complete window are in reach of its cell, else the coarsest; with its cell there."""
+    """For each position the finest level at which enough stations with a complete window are in reach of its cell, else the coarsest."""
     placed = runs.select("station_key", "station_lat", "station_lon").distinct()
-    counts = placed.select(_level_cells("station_lat", "station_lon", True)).groupBy("level", "cell_y", "cell_x").agg(F.count("*").alias("n"))
-    positions = requests.select("latitude", "longitude").distinct().select("latitude", "longitude", _level_cells("latitude", "longitude", False))
-    dense = F.coalesce(F.col("n") >= ENOUGH_STATIONS, F.lit(False)) | (F.col("level") == 0)
-    best = F.max(F.when(dense, F.struct("level", "cell_y", "cell_x"))).alias("best")
-    return positions.join(counts, ["level", "cell_y", "cell_x"], "left").groupBy("latitude", "longitude").agg(best).select("latitude", "longitude", "best.*")
+    counts = placed.select(_reached_cells("station_lat", "station_lon")).groupBy("level", "cell_y", "cell_x").agg(F.count("*").alias("n"))
+    positions = requests.select("latitude", "longitude").distinct().select("latitude", "longitude", F.inline(F.array(*_cells_of("latitude", "longitude"))))
+    dense = F.when(F.coalesce(F.col("n") >= ENOUGH_STATIONS, F.lit(False)), F.col("level")).otherwise(F.lit(0))
+    return positions.join(counts, ["level", "cell_y", "cell_x"], "left").groupBy("latitude", "longitude").agg(F.max(dense).alias("level"))
 
 
-def _search_levels(requests: DataFrame, runs: DataFrame, keys: list[str], edges: list[str], radius_km: float) -> DataFrame:
+def _search_levels(requests: DataFrame, runs: DataFrame, levels: DataFrame, keys: list[str], edges: list[str], radius_km: float) -> DataFrame:
     """The nearest complete station for requests that have one within the radius of their own level: a few stations each, however dense the place."""
     cell_keys = ["level", "cell_y", "cell_x"]
-    levels = write_once(_fitting_levels(requests, runs), "levels")
-    near = runs.select("station_key", "station_lat", "station_lon", "first_end", "last_end", _level_cells("station_lat", "station_lon", True))
-    near = near.join(levels.select(*cell_keys).distinct(), cell_keys, "left_semi")
+    cells = write_once(levels.select("latitude", "longitude", F.get(F.array(*_cells_of("latitude", "longitude")), F.col("level")).alias("c")).select("latitude", "longitude", "c.*"), "levels")
+    near = runs.select("station_key", "station_lat", "station_lon", "first_end", "last_end", _reached_cells("station_lat", "station_lon"))
+    near = near.join(cells.select(*cell_keys).distinct(), cell_keys, "left_semi")
     near = near.withColumn("end_month", F.explode(F.sequence(_month("first_end"), _month("last_end"))))
-    placed = requests.join(levels, ["latitude", "longitude"])
+    placed = requests.join(cells, ["latitude", "longitude"])
     ring = F.least(F.lit(LEVELS[0][0]) / F.pow(F.lit(2.0), F.col("level")), F.lit(float(radius_km)))
-    return _nearest(placed.join(near, [*cell_keys, "end_month"]), keys, edges, ring)
+    return write_once(_nearest(placed.join(near, [*cell_keys, "end_month"]), keys, edges, ring), "ring")
 
 
 def _month(day: str):
@@ -242,8 +241,12 @@ def nearest_complete_station(observations: DataFrame, days: DataFrame, radius_km
 
     found = None
     if inner_rings is None:
-        found = write_once(_search_levels(requests, runs, keys, edges, radius_km), "ring")
-        requests = requests.join(found.select(*keys), keys, "left_anti")
+        levels = write_once(_fitting_levels(requests, runs), "levels")
+        coarser = levels.where("level > 0").withColumn("level", F.greatest(F.col("level") - COARSER, F.lit(0)))
+        for some in (levels, coarser):
+            best = _search_levels(requests, runs, some, keys, edges, radius_km)
+            requests = requests.join(best.select(*keys), keys, "left_anti")
+            found = best if found is None else found.unionByName(best)
         inner_rings = ()
     for ring_km, ring_cell in [*((r, c) for r, c in inner_rings if r < radius_km), (radius_km, cell)]:
         best = _search_ring(requests, runs, keys, edges, ring_km, ring_cell)

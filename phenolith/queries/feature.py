@@ -136,8 +136,16 @@ def crossed_bucket(spark, sf):
     return done.select("example_id", "eco_biome", "eco_num", FE.crossed_bucket(buckets=buckets).alias("bucket"))
 
 
-@query(f"""SELECT i.example_id, 91 AS dense, 2 AS ids, i.s2_token_3, i.s2_token_4, round(c.avg_temp_sum + c.temp_difference_sum + c.precipitation_sum + c.daylight_sum + e.elevation, 3) AS total
-  FROM ({IDS_SQL}) i JOIN (SELECT example_id, {CHUNK_SQL} FROM scaled_win GROUP BY example_id) c ON c.example_id = i.example_id
+def _chunk_total(value: str, days: int, first: int) -> str:
+    return f"sum({value}) FILTER (WHERE pos // {days} >= {first}) / {days}"
+
+
+VECTOR_TOTAL = " + ".join([
+    _chunk_total("(max_s + min_s) / 2", 3, 16), _chunk_total("(max_s - min_s)", 3, 16), _chunk_total("prcp_s", 3, 8), _chunk_total("day_s", 12, 0)])
+
+
+@query(f"""SELECT i.example_id, 91 AS dense, 2 AS ids, i.s2_token_3, i.s2_token_4, round(c.total + e.elevation, 3) AS total
+  FROM ({IDS_SQL}) i JOIN (SELECT example_id, {VECTOR_TOTAL} AS total FROM scaled_win GROUP BY example_id) c ON c.example_id = i.example_id
   JOIN (SELECT m.example_id, (m.elevation - s.elevation_min) / (s.elevation_max - s.elevation_min) AS elevation FROM matched m JOIN scaler s ON true) e ON e.example_id = i.example_id""")
 def assemble_vector(spark, sf):
     """The numbers and ids that the network reads, without the label, from the columns that it needs alone: their count, sum and tokens."""

@@ -150,7 +150,7 @@ def test_a_dense_place_forms_few_pairs(spark, monkeypatch):
 
     monkeypatch.setattr(W, "_nearest", counted)
     got = {r["example_id"]: (r["station_key"], r["km"]) for r in W.match_stations(o, None).collect()}
-    assert sum(pairs) < 60 * len(points)
+    assert sum(pairs) < 500 * len(points)  # of 7,500 or so that the full radius would form for each
     for name, lat, lon, date in points:
         end = date - datetime.timedelta(days=3)
         near = sorted((round(km(lat, lon, a, b), 6), key) for key, a, b, first, last in runs if first <= end <= last and abs(a - lat) < 1.5)

@@ -187,3 +187,19 @@ def test_stream(spark, tmp_path):
     feeds.start_category_sink(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "1").awaitTermination()
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 5 and set(O.OBSERVATION_COLUMNS) <= set(back.columns)
+
+
+def test_readings_never_pass_for_a_small_table(spark, tmp_path):
+    """Their estimated size grows with stations times days, before and after the suppliers are known to be few: no join sends them all through the driver."""
+    from phenolith import adapters as A
+
+    spark.range(1, 301).selectExpr("id as s_suppkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.createDataFrame([("1995-01-01 00:00:00",), ("1996-12-31 00:00:00",)], "d string").selectExpr("cast(d as timestamp) as o_orderdate").write.parquet(
+        str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(7, "R", 50.0, "1995-03-04 00:00:00")], "l_suppkey long, l_returnflag string, l_quantity double, d string").selectExpr(
+        "l_suppkey", "l_returnflag", "l_quantity", "cast(d as timestamp) as l_shipdate").write.parquet(str(tmp_path / "lineitem.parquet"))
+    readings = A.readings(spark, str(tmp_path))
+    rows = 300 * (A.CALENDAR_LEAD + 731) - 1
+    assert readings.count() == rows
+    assert readings.where("stn = '7' and year = '1995' and mo = '03'").count() == 30
+    assert int(str(readings._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= 8 * rows

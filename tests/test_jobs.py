@@ -203,3 +203,15 @@ def test_readings_never_pass_for_a_small_table(spark, tmp_path):
     assert readings.count() == rows
     assert readings.where("stn = '7' and year = '1995' and mo = '03'").count() == 30
     assert int(str(readings._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= 8 * rows
+
+
+def test_weather_is_scanned_for_all_observations(spark, tmp_path):
+    """Also the months that only observations of other categories and ids reach."""
+    from phenolith.queries import load
+
+    spark.range(1, 4).selectExpr("id as s_suppkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.createDataFrame([(6, "1995-01-05 00:00:00"), (8, "1996-12-20 00:00:00")], "o_orderkey long, d string").selectExpr(
+        "o_orderkey", "1L as o_custkey", "'O' as o_orderstatus", "cast(d as timestamp) as o_orderdate").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([], "l_suppkey long, l_returnflag string, l_quantity double, l_shipdate timestamp").write.parquet(str(tmp_path / "lineitem.parquet"))
+    months = {(r["year"], r["mo"]): r["n"] for r in load()["scan_daily_weather"].run(spark, str(tmp_path)).collect()}
+    assert len(months) == 6 + 24 and months["1996", "07"] == 3 * 31 and months["1996", "12"] == 3 * 20

@@ -191,8 +191,6 @@ def test_stream(spark, tmp_path):
 
 def test_readings_never_pass_for_a_small_table(spark, tmp_path):
     """Their estimated size grows with stations times days, before and after the suppliers are known to be few: no join sends them all through the driver."""
-    from phenolith import adapters as A
-
     spark.range(1, 301).selectExpr("id as s_suppkey").write.parquet(str(tmp_path / "supplier.parquet"))
     spark.createDataFrame([("1995-01-01 00:00:00",), ("1996-12-31 00:00:00",)], "d string").selectExpr("cast(d as timestamp) as o_orderdate").write.parquet(
         str(tmp_path / "orders.parquet"))
@@ -215,3 +213,11 @@ def test_weather_is_scanned_for_all_observations(spark, tmp_path):
     spark.createDataFrame([], "l_suppkey long, l_returnflag string, l_quantity double, l_shipdate timestamp").write.parquet(str(tmp_path / "lineitem.parquet"))
     months = {(r["year"], r["mo"]): r["n"] for r in load()["scan_daily_weather"].run(spark, str(tmp_path)).collect()}
     assert len(months) == 6 + 24 and months["1996", "07"] == 3 * 31 and months["1996", "12"] == 3 * 20
+
+
+def test_tasks_of_observations_do_not_grow_with_the_table(spark, tmp_path):
+    """More orders make more tasks, not longer ones."""
+    spark.range(1, 850_001).selectExpr("id as o_orderkey", "id % 50 as o_custkey", "'O' as o_orderstatus", "timestamp'1995-01-05' as o_orderdate").coalesce(1).write.parquet(
+        str(tmp_path / "orders.parquet"))
+    sizes = [r["n"] for r in A.parsed_observations(spark, str(tmp_path)).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 850_000 and max(sizes) < 110_000

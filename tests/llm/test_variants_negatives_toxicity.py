@@ -210,6 +210,18 @@ def test_toxic_documents_are_found_and_odd_rows_scored(spark):
     assert {r["held_out"] for r in got if r["doc_id"] is None} == {False}
 
 
+def test_grams_beyond_the_tasks_memory_count_too(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice(["ba", "de", "lo", "ri", "tu", "n", "s"]) for _ in range(rng.randint(1, 4)))
+    rows = [(i, " ".join([word() for _ in range(rng.randint(1, 90))] + ["krunk" + word()] * (i % 4 == 0))) for i in range(300)]
+    rows += [(400, None), (401, ""), (402, "12 !"), (None, "krunk lori lori"), (7, "krunkba de")]
+    df, labels = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id bigint, toxic int")
+    scored = [sorted((r["doc_id"] is None, r["doc_id"], r["score"]) for r in T.score_toxicity(df, labels, max_grams=m).collect()) for m in (T.MAX_GRAMS, 40, 0)]
+    for some in scored[1:]:
+        assert [r[:2] for r in some] == [r[:2] for r in scored[0]]
+        assert np.allclose([r[2] for r in some], [r[2] for r in scored[0]], atol=1e-9)
+
+
 def test_toxicity_without_labels_or_rows(spark):
     schema = "doc_id bigint, text string"
     none = spark.createDataFrame([], "doc_id bigint, toxic int")

@@ -10,6 +10,7 @@ from phenolith.operators import numbering as N
 from phenolith.operators import sampling as SP
 from phenolith.queries import query
 from phenolith.queries.sql import EQUALITY_KEY, MONTH_KEY, SEASON_KEY
+from phenolith.session import write_once
 
 BATCH_OF_RANDOM = "split_part(example_id, '-', 2)::INTEGER"
 
@@ -222,7 +223,7 @@ BY_FILE_SQL = f"""
 
 
 def _by_file(spark, sf):
-    rows = _random(spark, sf).select("example_id", X.random_batch_id().alias("file_no"))
+    rows = write_once(_random(spark, sf).select("example_id", X.random_batch_id().alias("file_no")), "random-rows")  # counted, numbered and drawn from
     n = rows.count()
     return SP.split_by_file(rows, n // 10, n // 2, 9)
 

@@ -5,8 +5,10 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from phenolith.operators import features as FE
 from phenolith.operators import weather as W
-from phenolith.schema import WEATHER_COLUMNS
+from phenolith.queries import feature, load
+from phenolith.schema import VOCABULARY_COLUMNS, WEATHER_COLUMNS
 
 
 def plan(df) -> str:
@@ -30,3 +32,25 @@ def test_search_for_stations_is_joined_by_shuffles(searched, monkeypatch, option
     for df in (matched, *pairs):
         joins = [line for line in plan(df).splitlines() if "Join" in line and "LeftSemi" not in line]
         assert joins and all("SortMergeJoin" in line for line in joins), joins
+
+
+def rows_with_places(spark):
+    tokens = F.array(*[F.concat(F.lit(f"{k}_"), (F.col("id") % (k + 1)).cast("string")) for k in range(17)])
+    series = [F.array(F.col("id").cast("double"), F.lit(1.0)).alias(c) for c in ("min_temp", "max_temp", "precipitation")]
+    return spark.range(40).select(
+        F.concat(F.lit("e"), "id").alias("example_id"), F.lit("u").alias("category"), tokens.alias("s2_tokens"), F.lit("1").alias("eco_biome"), F.lit("2").alias("eco_num"),
+        F.col("id").alias("elevation"), *series, F.array(F.col("id"), F.lit(1).cast("long")).alias("daylight"))
+
+
+def test_places_in_long_form_are_not_broadcast(spark):
+    rows = rows_with_places(spark)
+    done = FE.lookup_vocabulary(FE.token_levels(rows).select("example_id", *VOCABULARY_COLUMNS), FE.fit(rows), VOCABULARY_COLUMNS)
+    assert "SortMergeJoin [feature" in plan(done) and done.count() == 40
+
+
+def test_lookup_by_joins_reads_a_written_vocabulary(spark, monkeypatch):
+    monkeypatch.setattr(feature, "enriched", lambda s, d: rows_with_places(s))
+    seen, old = [], FE._lookup_by_column
+    monkeypatch.setattr(FE, "_lookup_by_column", lambda df, v, *a: (seen.append(v), old(df, v, *a))[1])
+    assert load()["lookup_vocabulary_by_join"].run(spark, "").count() == 40
+    assert seen[0].inputFiles() and all("vocabulary-" in f for f in seen[0].inputFiles())

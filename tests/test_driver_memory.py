@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from phenolith import adapters as A
 from phenolith.operators import features as FE
 from phenolith.operators import weather as W
 from phenolith.queries import feature, load
@@ -34,6 +35,50 @@ def test_search_for_stations_is_joined_by_shuffles(searched, monkeypatch, option
         assert joins and all("SortMergeJoin" in line for line in joins), joins
 
 
+def test_matches_are_read_not_searched_again(searched):
+    """Neither the matches nor the blocks of their windows hold the search, whose exchanges the driver would plan and run for both."""
+    done = W.nearest_complete_window(*searched)
+    assert "end_month" not in plan(done) and done.count() == 60
+    joins = [line for line in plan(done).splitlines() if "Join" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins), joins
+
+
+def test_cells_of_levels_are_not_broadcast(searched, monkeypatch):
+    levels, fitting = [], W._fitting_levels
+    monkeypatch.setattr(W, "_fitting_levels", lambda *a: (levels.append(fitting(*a)), levels[-1])[1])
+    pairs, nearest = [], W._nearest
+    monkeypatch.setattr(W, "_nearest", lambda p, *a: (pairs.append(p), nearest(p, *a))[1])
+    assert W.match_stations(*searched).count() == 60
+    assert all("Broadcast" not in plan(df) for df in (*levels, *pairs))
+
+
+def test_very_many_stations_are_not_broadcast(spark, monkeypatch):
+    stations = spark.range(5).selectExpr("cast(id as string) as usaf", "'1' as wban", "30.0D + id as lat", "-100.0D as lon")
+    readings = spark.range(50).selectExpr("cast(id % 7 as string) as stn", "'1' as wban", "cast(id as double) as max")
+    assert W.join_weather_stations(readings, stations).count() == 36
+    monkeypatch.setattr(W, "SENT_STATIONS", 4)
+    joined = W.join_weather_stations(readings, stations)
+    assert "SortMergeJoin" in plan(joined) and "Broadcast" not in plan(joined) and joined.count() == 36
+
+
+def test_readings_are_not_shuffled_for_their_gaps(spark, tmp_path):
+    """Also with a supplier that comes twice, one without key, and shipments without supplier or day or repeated."""
+    at = {name: str(tmp_path / f"{name}.parquet") for name in ("supplier", "orders", "lineitem")}
+    spark.createDataFrame([(1,), (2,), (2,), (None,)], "s_suppkey long").write.parquet(at["supplier"])
+    spark.sql("select timestamp'1996-01-01' as o_orderdate union all select timestamp'1996-03-31'").write.parquet(at["orders"])
+    shipped = [(2, "R", 50.0, "1996-02-03"), (2, "R", 50.0, "1996-02-03"), (2, "R", 51.0, "1996-02-29"), (2, "R", 49.0, "1996-02-04"), (2, "A", 50.0, "1996-02-05"),
+               (None, "R", 50.0, "1996-02-06"), (1, "R", 50.0, None), (9, "R", 50.0, "1996-02-07")]
+    spark.createDataFrame(shipped, "l_suppkey long, l_returnflag string, l_quantity double, d string").selectExpr(
+        "l_suppkey", "l_returnflag", "l_quantity", "cast(d as timestamp) as l_shipdate").write.parquet(at["lineitem"])
+    readings = A.readings(spark, str(tmp_path))
+    february = readings.where("year = '1996' and mo = '02'").groupBy("stn").agg(F.count("*").alias("n"), F.collect_set("da").alias("days")).collect()
+    assert {r["stn"]: r["n"] for r in february} == {"1": 29, "2": 2 * 27, None: 29}
+    assert all({"03", "29"} & {*r["days"]} == set() for r in february if r["stn"] == "2")
+    assert "LeftAnti" not in plan(readings)
+    # The product of suppliers and days is the last that moves anything.
+    assert "Exchange" not in plan(readings).split("BroadcastNestedLoopJoin")[0].split("CartesianProduct")[0]
+
+
 def rows_with_places(spark):
     tokens = F.array(*[F.concat(F.lit(f"{k}_"), (F.col("id") % (k + 1)).cast("string")) for k in range(17)])
     series = [F.array(F.col("id").cast("double"), F.lit(1.0)).alias(c) for c in ("min_temp", "max_temp", "precipitation")]

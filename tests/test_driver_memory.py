@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from phenolith import adapters as A
+from phenolith.functions import geo
 from phenolith.operators import features as FE
 from phenolith.operators import weather as W
 from phenolith.queries import feature, load
@@ -52,6 +53,18 @@ def test_cells_of_levels_are_not_broadcast(searched, monkeypatch):
     assert all("Broadcast" not in plan(df) for df in (*levels, *pairs))
 
 
+def test_cells_are_no_constants_of_the_plan(spark):
+    """All columns of a fine grid as a constant would go into every plan and task that the driver makes."""
+    columns, size = 4 * 360 * 256, 0.25 / 256
+    places = spark.createDataFrame([(30.0, -100.0), (89.9999, 10.0), (None, 10.0), (89.9999, None), (30.0, None)], "lat double, lon double")
+    reach = places.select("lat", "lon", geo.reachable_cells("lat", "lon", 25.0 / 256, size).alias("cells"))
+    tree = reach._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" in tree and "UnsafeArrayData" not in tree
+    cells = {(r["lat"], r["lon"]): r["cells"] for r in reach.withColumn("cells", F.size(F.array_distinct("cells.cell_x"))).collect()}
+    assert cells[89.9999, 10.0] == cells[89.9999, None] == columns
+    assert 2 <= cells[30.0, -100.0] <= 5 and {cells[None, 10.0], cells[30.0, None]} <= {None, -1}
+
+
 def test_very_many_stations_are_not_broadcast(spark, monkeypatch):
     stations = spark.range(5).selectExpr("cast(id as string) as usaf", "'1' as wban", "30.0D + id as lat", "-100.0D as lon")
     readings = spark.range(50).selectExpr("cast(id % 7 as string) as stn", "'1' as wban", "cast(id as double) as max")

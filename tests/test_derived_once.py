@@ -1,6 +1,8 @@
 """What is dear to derive is derived once: later steps read what was written."""
 
 import datetime
+from functools import reduce
+from operator import add
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,3 +62,33 @@ def test_a_series_is_computed_once_for_all_its_chunks(spark):
     means = rows.withColumn("s", F.transform("a", lambda x: x * 2 + 1)).select(FE.chunk_mean_slice("s", 3, 0.25, 12).alias("m"))
     assert "slice(transform" not in means._jdf.queryExecution().optimizedPlan().toString()
     assert [r["m"] for r in means.collect()][0] == [9.0, 15.0, 21.0]
+
+
+def test_chunk_means_of_odd_series_are_those_of_a_loop(spark):
+    series = [
+        None, [], [1.5] * 7, [0.1 * k for k in range(120)], [None if k in (50, 119) else 0.3 * k for k in range(120)], [0.7 * k for k in range(130)], [float("inf")] * 119]
+    given = spark.createDataFrame(list(enumerate(series)), "i int, s array<double>")
+    for days, share in ((3, 0.4), (12, None), (7, None)):
+        chunks, first = FE.chunk_count(days, share)
+        got = given.select("i", FE.chunk_mean_slice("s", days, share).alias("c"))
+        assert "ArrowEvalPython" in got._jdf.queryExecution().toString()  # no lambda a chunk and day
+        for i, c in got.collect():
+            parts = [None if series[i] is None else series[i][k * days : (k + 1) * days] for k in range(first, chunks)]
+            assert c == [None if p is None or None in p else reduce(add, p, 0.0) / days for p in parts]
+    counts = given.selectExpr("i", "transform(s, x -> CAST(x AS INT)) AS s").where("i = 3")
+    assert counts.select(FE.chunk_mean_slice("s", 12).alias("c")).first()["c"] == [sum(int(0.1 * k) for k in range(12 * j, 12 * j + 12)) / 12 for j in range(10)]
+
+
+def test_numbers_are_scaled_after_the_lookup(spark):
+    """Rows that are shuffled for the lookup go as they were read."""
+    from phenolith.schema import SCALED_COLUMNS
+
+    rows = spark.createDataFrame(
+        [("e", "u1", ["t"] * 17, "1", "2", 5, *[[1.0, 3.0]] * 4)],
+        "example_id string, category string, s2_tokens array<string>, eco_biome string, eco_num string, elevation long, max_temp array<double>, min_temp array<double>, "
+        "precipitation array<double>, daylight array<double>")
+    done = FE.apply_transform(rows, FE.fit(rows), keep=("example_id",))
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("lambdafunction") < plan.index("Join LeftOuter")
+    got = done.first()
+    assert got["max_temp"] == [0.0, 1.0] and got["elevation"] == 0.0 and got["s2_token_3"] == 0 and set(SCALED_COLUMNS) < set(done.columns)
